@@ -1,87 +1,74 @@
-"""Order-dependent operators that never sort the whole input in one task.
-
-All of them cut the value range into buckets, work inside a bucket, and carry a small
-per-bucket summary (one row per bucket) across bucket borders.
-"""
+"""Order-dependent operators that never sort the whole input in one task."""
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+SKETCH_ACCURACY = 100_000
 
 
-def rows_before(df: DataFrame, value: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """(value, n, before): each distinct value, its rows, and the rows that sort ahead of it.
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: dict[str, float], accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """One row of linearly interpolated quantiles, one DOUBLE column per name.
 
-    NULLs are left out. Bucket borders are approximate quantiles; they only balance the work,
-    the counts are exact for any borders. Equal values are merged first, so a value that holds
-    a third of the rows is one row here.
+    Same definition as SQL PERCENTILE_CONT, which gathers the column in one task. Here a sketch
+    first brackets each quantile (its error is at most 1/accuracy of the rows, the bracket is
+    five times as wide). The second scan counts the rows of each stretch between brackets as one
+    group and keeps single values only inside a bracket, so the order statistics are picked by
+    their exact row number from a sliver of the data. Equal values are merged before the shuffle.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    borders = counts.agg(F.percentile_approx(value, fractions, 100 * buckets).alias("b")).scalar()
-    bucketed = counts.withColumn(
-        "_bucket", F.size(F.filter(F.array_distinct(borders), lambda b: b < F.col(value)))
+    margin = 5.0 / accuracy
+    edges: list[tuple[float, Callable[[Column, Column], Column]]] = []
+    for p in sorted(probabilities.values()):
+        edges += [(max(p - margin, 0.0), operator.ge), (min(p + margin, 1.0), operator.gt)]
+    known = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"))
+    sketch = known.agg(F.percentile_approx("_v", [p for p, _ in edges], accuracy)).scalar()
+    # The number of edges passed grows with the value. Odd steps of a pair are inside a bracket.
+    held = known.withColumn("_edges", sketch)
+    passed = [
+        F.coalesce(test(F.col("_v"), F.get("_edges", F.lit(i))).cast("int"), F.lit(0))
+        for i, (_, test) in enumerate(edges)
+    ]
+    inside = reduce(operator.or_, [(lo == 1) & (hi == 0) for lo, hi in zip(passed[::2], passed[1::2], strict=True)])
+    counts = (
+        held.select(reduce(operator.add, passed).alias("_step"), F.when(inside, F.col("_v")).alias("_v"))
+        .groupBy("_step", "_v")
+        .agg(F.count("*").alias("_n"))
     )
-    # At most one row per bucket, so the unpartitioned window and the broadcast are bounded.
-    direction = F.desc if descending else F.asc
+    # At most one row per step, so the unpartitioned windows and the broadcast are bounded.
+    earlier = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        bucketed.groupBy("_bucket")
-        .agg(F.sum("n").alias("_rows"))
-        .withColumn(
-            "_carried",
-            F.coalesce(
-                F.sum("_rows").over(
-                    Window.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
+        counts.groupBy("_step")
+        .agg(F.sum("_n").alias("_rows"))
+        .select(
+            "_step",
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_carried"),
+            F.sum("_rows").over(Window.partitionBy()).alias("_total"),
         )
-        .drop("_rows")
-    )
-    inside = Window.partitionBy("_bucket").orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        bucketed.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(F.broadcast(carried), "_bucket")
-        .select(value, "n", (F.col("_carried") + F.col("_inside")).alias("before"))
     )
-
-
-def with_rank_desc(df: DataFrame, value: str, rank: str) -> DataFrame:
-    """RANK() OVER (ORDER BY value DESC NULLS FIRST) without a single-task sort."""
-    nulls = df.agg(F.count_if(F.col(value).isNull())).scalar()
-    before = rows_before(df, value, descending=True).select(
-        F.col(value).alias("_value"), F.col("before").alias("_before")
+    within = Window.partitionBy("_step").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = (
+        counts.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+        .join(F.broadcast(carried), "_step")
+        .withColumn("_before", F.col("_carried") + F.col("_inside"))
     )
-    ranked = df.join(before, F.col(value) == F.col("_value"), "left")
-    position = F.when(F.col(value).isNull(), F.lit(1)).otherwise(F.col("_before") + nulls + 1)
-    return ranked.withColumn(rank, position.cast("bigint")).drop("_value", "_before")
-
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float]) -> DataFrame:
-    """One row of linearly interpolated quantiles, one DOUBLE column per name.
+    def at_row(row: Column) -> Column:
+        here = (F.col("_before") <= row) & (row < F.col("_before") + F.col("_n"))
+        return F.max(F.when(here, F.coalesce("_v", F.raise_error(F.lit("quantile outside its bracket")))))
 
-    Same definition as SQL PERCENTILE_CONT, but the column is never gathered in one task:
-    the wanted order statistics are picked out by their exact row number.
-    """
-    ordered = rows_before(df, value)
-    total = df.where(F.col(value).isNotNull()).agg(F.count("*")).scalar()
-    picks = []
+    columns = []
     for name, p in probabilities.items():
-        at = F.lit(float(p)) * (total - 1).cast("double")
-        for side, row in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            here = (F.col("before") <= row) & (row < F.col("before") + F.col("n"))
-            picks.append(F.max(F.when(here, F.col(value))).cast("double").alias(f"{name}_{side}"))
-        picks.append(F.max(at - F.floor(at)).alias(f"{name}_part"))
-    found = ordered.agg(*picks)
-    return found.select(
-        *[
-            (F.col(f"{n}_lo") + F.col(f"{n}_part") * (F.col(f"{n}_hi") - F.col(f"{n}_lo"))).alias(n)
-            for n in probabilities
-        ]
-    )
+        at = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
+        low, high = at_row(F.floor(at)).cast("double"), at_row(F.ceil(at)).cast("double")
+        columns.append((low + F.max(at - F.floor(at)) * (high - low)).alias(name))
+    return ordered.agg(*columns)
 
 
 def with_previous(
