@@ -36,8 +36,8 @@ def elapsed_days(start: Column, end: Column) -> Column:
 def mean_elapsed_days(start: Column, end: Column) -> Column:
     """Exact average of elapsed days: whole microseconds are summed, then divided once."""
     micros = elapsed_micros(start, end)
-    total = F.sum(micros.cast("decimal(20,0)"))
-    return ratio(total, F.count(micros)) / F.lit(float(MICROS_PER_DAY))
+    total = F.sum(micros.cast("decimal(20,0)")).cast("double")
+    return ratio(total / F.lit(float(MICROS_PER_DAY)), F.count(micros))
 
 
 def whole_months(start: Column, end: Column) -> Column:

@@ -5,7 +5,7 @@ The report reads each base table once per grain instead of running 21 queries.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +20,7 @@ from ..functions.expressions import (
     whole_months,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Report category and label of every indicator, in report order.
 LABELS: dict[str, tuple[str, str]] = {

@@ -11,6 +11,8 @@ after the last join, on its own partitioning, so the fold adds no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ from ..operators.rollups import (
     with_review_weights,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 PREVIEW_ROWS = 10
 

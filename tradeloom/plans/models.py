@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Database of each target.
 TARGET_SCHEMAS = {"dev": "dbt_dev", "prod": "analytics"}
 DEFAULT_KIND = "view"
 
@@ -46,9 +47,9 @@ def second_model(first: DataFrame) -> DataFrame:
 
 
 MODELS = [
-    Model("my_first_dbt_model", lambda spark: first_model(spark), kind="table", unique=("id",), not_null=("id",)),
+    Model("first_model", lambda spark: first_model(spark), kind="table", unique=("id",), not_null=("id",)),
     Model(
-        "my_second_dbt_model", lambda spark, first: second_model(first), refs=("my_first_dbt_model",),
+        "second_model", lambda spark, first: second_model(first), refs=("first_model",),
         unique=("id",), not_null=("id",),
     ),
 ]

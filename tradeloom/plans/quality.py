@@ -3,7 +3,7 @@ outliers, freshness and metric trends. All return DataFrames; none loops over ro
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,7 +14,7 @@ from ..functions.expressions import percent
 from ..operators.ordered import exact_quantiles, with_previous
 from ..sources.specs import LINKS
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 RULE_SCHEMA = (
     "rule_id bigint, rule_name string, table_name string, rule_sql string, expected_result string, "

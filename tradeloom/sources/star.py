@@ -5,6 +5,8 @@ Everything stays lazy, so a mart that needs two columns of one table scans just
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,22 +150,62 @@ def _geolocation(customer: DataFrame, supplier: DataFrame, nation: DataFrame) ->
     )
 
 
-def read_star(spark: SparkSession, folder: str) -> Tables:
-    names = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
-
-
-def canonical(spark: SparkSession, folder: str) -> Tables:
-    """The nine tables, keyed by their canonical names."""
-    s = read_star(spark, folder)
-    return {
-        "customers": _customers(s["orders"], s["customer"], s["nation"]),
-        "geolocation": _geolocation(s["customer"], s["supplier"], s["nation"]),
-        "orders": _orders(s["orders"], s["lineitem"]),
-        "order_items": _order_items(s["lineitem"]),
-        "order_payments": _order_payments(s["orders"]),
-        "order_reviews": _order_reviews(s["orders"]),
-        "products": _products(s["part"]),
-        "sellers": _sellers(s["supplier"], s["nation"]),
-        "product_category_translation": _translation(s["part"]),
-    }
+STAR_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+# Canonical table -> (builder, the star tables it takes).
+BUILDERS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "customers": (_customers, ("orders", "customer", "nation")),
+    "geolocation": (_geolocation, ("customer", "supplier", "nation")),
+    "orders": (_orders, ("orders", "lineitem")),
+    "order_items": (_order_items, ("lineitem",)),
+    "order_payments": (_order_payments, ("orders",)),
+    "order_reviews": (_order_reviews, ("orders",)),
+    "products": (_products, ("part",)),
+    "sellers": (_sellers, ("supplier", "nation")),
+    "product_category_translation": (_translation, ("part",)),
+}
+
+
+class StarTables(Mapping):
+    """Star tables by name, each opened on first use: opening reads a file footer."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        self.opened: Tables = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in STAR_TABLES:
+            raise KeyError(name)
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(STAR_TABLES)
+
+    def __len__(self) -> int:
+        return len(STAR_TABLES)
+
+
+class CanonicalTables(Mapping):
+    """The nine tables by canonical name, each planned on first use."""
+
+    def __init__(self, star: StarTables) -> None:
+        self.star = star
+        self.planned: Tables = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.planned:
+            build, sources = BUILDERS[name]
+            self.planned[name] = build(*[self.star[s] for s in sources])
+        return self.planned[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
+def canonical(spark: SparkSession, folder: str) -> CanonicalTables:
+    return CanonicalTables(StarTables(spark, folder))
