@@ -15,21 +15,25 @@ MISSING_TEXTS = [
 ]
 
 
+# Spark raises and catches an exception for each bad text in a failed cast, and also takes Java
+# forms such as "1d" for numbers, so numbers are recognized first.
+WHOLE = r"^\s*[+-]?[0-9]{1,19}\s*$"
+NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+
+
 def as_text(c: Column) -> Column:
     """Text with every missing-value spelling turned into NULL. Leading zeros stay."""
     return F.when(~c.isin(MISSING_TEXTS), c)
 
 
 def as_float(c: Column) -> Column:
-    """DOUBLE, NULL when unparseable."""
-    text = as_text(c)
-    # Spark also reads Java suffixes such as "1d" and "2.5f" as numbers.
-    return F.when(~text.rlike("[dDfF]\\s*$"), text.try_cast("double"))
+    """DOUBLE, NULL when missing or unparseable. The pattern takes none of the missing texts."""
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def as_int(c: Column) -> Column:
     """BIGINT with the fraction cut off; missing or unparseable gives 0, not NULL."""
-    whole = as_text(c).try_cast("bigint")
+    whole = F.when(c.rlike(WHOLE), c.try_cast("bigint"))
     return F.coalesce(whole, as_float(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 

@@ -6,17 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
-MONEY = "decimal(18,4)"
-WIDE = "decimal(38,4)"
+MONEY_SCALE = 10_000
 
 
 def money(c: Column) -> Column:
-    """Fixed-point money. Sums of it do not depend on task order, sums of doubles do."""
-    return c.cast(MONEY)
+    """Money in whole ten-thousandths, so that sums do not depend on task order.
 
+    The way over a rounded BIGINT compiles to primitive arithmetic; a direct cast of a double
+    to a decimal goes through its text form. The decimal keeps sums from overflowing.
+    """
+    return F.rint(c * MONEY_SCALE).cast("bigint").cast("decimal(18,0)")
 
-def as_double(c: Column) -> Column:
-    return c.cast("double")
+
+def from_money(total: Column) -> Column:
+    """A money total as DOUBLE."""
+    return total.cast("double") / F.lit(float(MONEY_SCALE))
 
 
 def ratio(total: Column, count: Column) -> Column:
@@ -40,38 +44,12 @@ def mean_elapsed_days(start: Column, end: Column) -> Column:
     return ratio(total / F.lit(float(MICROS_PER_DAY)), F.count(micros))
 
 
-def whole_months(start: Column, end: Column) -> Column:
-    """Complete calendar months between two timestamps."""
-    return F.timestamp_diff("MONTH", start, end)
-
-
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """100 * part / whole, rounded half up in decimal arithmetic; NULL for an empty whole."""
     share = F.try_divide(part.cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)"), whole.cast("decimal(20,0)"))
     return F.round(share, digits)
 
 
-def count_with_share(part: Column, whole: Column) -> Column:
-    """Text like ``1968 (32.8%)``."""
-    share = percent(part, whole, 1).cast("decimal(10,1)").cast("string")
-    return F.concat(part.cast("string"), F.lit(" ("), share, F.lit("%)"))
-
-
-def rounded_mean(total: Column, count: Column, digits: int = 2) -> Column:
-    """Half-up rounded decimal mean."""
-    mean = F.try_divide(total.cast(WIDE), count.cast("decimal(20,0)"))
-    return F.round(mean, digits).cast(f"decimal(38,{digits})")
-
-
-def grouped_number(c: Column) -> Column:
-    """Thousands-separated whole number, e.g. ``99,441``."""
-    return F.format_number(c, 0)
-
-
-def or_no_data(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("No data"))
-
-
 def pretty_size(num_bytes: int) -> str:
     """Size text in the manner of a database console: bytes, kB, MB, GB, TB."""
     size, units = int(num_bytes), ["bytes", "kB", "MB", "GB", "TB"]

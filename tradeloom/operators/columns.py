@@ -22,13 +22,10 @@ def text_value(field: T.StructField) -> Column:
 
 
 def long_format(df: DataFrame, *keep: str) -> DataFrame:
-    """(keep..., position, column, value) with NULL values included."""
+    """(keep..., column, value) with NULL values included."""
     fields = [f for f in df.schema.fields if f.name not in keep]
-    entries = [
-        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), text_value(f).alias("value"))
-        for i, f in enumerate(fields)
-    ]
-    return df.select(*keep, F.inline(F.array(*entries)))
+    text = df.select(*keep, *[text_value(f).alias(f.name) for f in fields])
+    return text.unpivot(list(keep), [F.col(f"`{f.name}`") for f in fields], "column", "value")
 
 
 def digest_long(value: Column, limit: int = 64) -> Column:
@@ -41,7 +38,7 @@ def column_counts(df: DataFrame) -> DataFrame:
     return (
         long_format(df)
         .withColumn("value", digest_long(F.col("value")))
-        .groupBy("position", "column")
+        .groupBy("column")
         .agg(
             F.count("*").alias("total_rows"),
             F.count("value").alias("non_null_count"),
@@ -51,7 +48,7 @@ def column_counts(df: DataFrame) -> DataFrame:
 
 
 def first_values(df: DataFrame, k: int, order_by: list[str] | None = None) -> DataFrame:
-    """(position, column, value, nth): the first k non-NULL values of every column.
+    """(column, value, nth): the first k non-NULL values of every column.
 
     Without ``order_by`` the order is that of the input files. Each task keeps k rows per
     column before anything is shuffled, and a second cut per thousand tasks keeps the last
@@ -60,12 +57,12 @@ def first_values(df: DataFrame, k: int, order_by: list[str] | None = None) -> Da
     order = [F.col(c) for c in order_by] if order_by else [F.monotonically_increasing_id()]
     keyed = df.withColumn("_task", F.spark_partition_id()).withColumn("_order", F.struct(*order))
     values = long_format(keyed, "_task", "_order").where(F.col("value").isNotNull())
-    block = Window.partitionBy("position", F.floor(F.col("_task") / 1000)).orderBy("_order")
-    whole = Window.partitionBy("position", "column").orderBy("_order")
+    block = Window.partitionBy("column", F.floor(F.col("_task") / 1000)).orderBy("_order")
+    whole = Window.partitionBy("column").orderBy("_order")
     return (
         values.withColumn("_nth", F.row_number().over(block))
         .where(F.col("_nth") <= k)
         .withColumn("nth", F.row_number().over(whole))
         .where(F.col("nth") <= k)
-        .select("position", "column", "value", "nth")
+        .select("column", "value", "nth")
     )

@@ -72,7 +72,7 @@ def with_review_weights(lines: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def times(amount: str, weight: str) -> Column:
-    """Money amount times a whole-number weight, kept in fixed point."""
+    """Money total times a whole-number weight, kept exact."""
     return F.col(amount) * F.col(weight).cast("decimal(10,0)")
 
 

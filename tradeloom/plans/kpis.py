@@ -8,17 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import (
-    count_with_share,
-    grouped_number,
-    money,
-    or_no_data,
-    rounded_mean,
-    whole_months,
-)
+from ..functions.expressions import MONEY_SCALE, money
 
 Tables = Mapping[str, DataFrame]
 
@@ -48,85 +41,92 @@ LABELS: dict[str, tuple[str, str]] = {
 }
 
 
+# Amounts are summed in exact ten-thousandths (see functions.expressions.money).
+def _money(column: str) -> str:
+    return f"CAST(CAST(rint({column} * {MONEY_SCALE}) AS BIGINT) AS DECIMAL(18,0))"
+
+
+def _rounded(total: str, count: str, scale: int = 1) -> str:
+    """total / count / scale, rounded half up to two places in decimal arithmetic."""
+    divisor = f"CAST({count} * {scale} AS DECIMAL(20,0))"
+    return f"CAST(round(try_divide(CAST({total} AS DECIMAL(38,6)), {divisor}), 2) AS DECIMAL(38,2))"
+
+
+def _share(condition: str) -> str:
+    """Text like ``1968 (32.8%)``: the matching rows and their share of all rows."""
+    part = f"count_if({condition})"
+    share = f"CAST(round(try_divide(CAST({part} AS DECIMAL(20,0)) * 100, CAST(count(*) AS DECIMAL(20,0))), 1) AS DECIMAL(10,1))"
+    return f"concat(CAST({part} AS STRING), ' (', CAST({share} AS STRING), '%)')"
+
+
 # One-row packs: several indicators from one pass over one table.
 
 
 def order_pack(t: Tables) -> DataFrame:
-    bought, status = F.col("order_purchase_timestamp"), F.col("order_status")
-    first, last, total = F.min(bought), F.max(bought), F.count("*")
-    return t["orders"].agg(
-        total.alias("total_orders"),
-        F.to_date(first).alias("first_order_date"),
-        F.to_date(last).alias("last_order_date"),
-        whole_months(first, last).alias("coverage_months"),
-        count_with_share(F.count_if(status == "delivered"), total).alias("delivered_orders"),
-        count_with_share(F.count_if(status == "canceled"), total).alias("cancelled_orders"),
+    bought = "order_purchase_timestamp"
+    return t["orders"].selectExpr(
+        "count(*) AS total_orders",
+        f"CAST(min({bought}) AS DATE) AS first_order_date",
+        f"CAST(max({bought}) AS DATE) AS last_order_date",
+        f"timestampdiff(MONTH, min({bought}), max({bought})) AS coverage_months",
+        _share("order_status = 'delivered'") + " AS delivered_orders",
+        _share("order_status = 'canceled'") + " AS cancelled_orders",
     )
 
 
 def reviewed_pack(t: Tables) -> DataFrame:
     """Orders that have a review. Review keys are made distinct before the shuffle."""
     reviewed = t["order_reviews"].select("order_id").distinct()
-    return (
-        t["orders"]
-        .select("order_id")
-        .join(reviewed, "order_id", "left_semi")
-        .agg(F.count_distinct("order_id").alias("orders_with_reviews"))
-    )
+    found = t["orders"].select("order_id").join(reviewed, "order_id", "left_semi")
+    return found.selectExpr("count(DISTINCT order_id) AS orders_with_reviews")
 
 
 def customer_pack(t: Tables) -> DataFrame:
     """Persons, repeaters, states and cities from one grouping of (kind, value) pairs."""
-    kinds = {"person": "customer_unique_id", "state": "customer_state", "city": "customer_city"}
-    pairs = F.array(
-        *[
-            F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("value"))
-            for kind, column in kinds.items()
-        ]
-    )
-    groups = t["customers"].select(F.inline(pairs)).groupBy("kind", "value").agg(F.count("*").alias("n"))
-
-    def known(kind: str) -> Column:
-        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
-
-    return groups.agg(
-        known("person").alias("unique_customers"),
-        F.count_if((F.col("kind") == "person") & (F.col("n") > 1)).alias("repeat_customers"),
-        known("state").alias("states_with_orders"),
-        known("city").alias("cities_with_orders"),
+    pairs = t["customers"].selectExpr(
+        "CAST(customer_unique_id AS STRING) AS person", "customer_state AS state", "customer_city AS city"
+    ).unpivot([], ["person", "state", "city"], "kind", "value")
+    return (
+        pairs.groupBy("kind", "value")
+        .count()
+        .selectExpr(
+            "count_if(kind = 'person' AND value IS NOT NULL) AS unique_customers",
+            "count_if(kind = 'person' AND count > 1) AS repeat_customers",
+            "count_if(kind = 'state' AND value IS NOT NULL) AS states_with_orders",
+            "count_if(kind = 'city' AND value IS NOT NULL) AS cities_with_orders",
+        )
     )
 
 
 def item_pack(t: Tables) -> DataFrame:
-    def mean(column: str) -> Column:
-        return rounded_mean(F.sum(money(F.col(column))), F.count(column))
+    def mean(column: str) -> str:
+        return _rounded(f"sum({_money(column)})", f"count({column})", MONEY_SCALE)
 
-    return t["order_items"].agg(
-        F.count_distinct("seller_id").alias("active_sellers"),
-        mean("price").alias("avg_product_price"),
-        mean("freight_value").alias("avg_freight"),
+    return t["order_items"].selectExpr(
+        "count(DISTINCT seller_id) AS active_sellers",
+        mean("price") + " AS avg_product_price",
+        mean("freight_value") + " AS avg_freight",
     )
 
 
 def product_pack(t: Tables) -> DataFrame:
-    return t["products"].agg(F.count_distinct("product_category_name").alias("product_categories"))
+    return t["products"].selectExpr("count(DISTINCT product_category_name) AS product_categories")
 
 
 def payment_pack(t: Tables) -> DataFrame:
     """Revenue, and the mean of the per-order totals."""
     orders = t["order_payments"].groupBy("order_id").agg(F.sum(money(F.col("payment_value"))).alias("paid"))
-    return orders.agg(
-        F.round(F.sum("paid"), 2).cast("decimal(38,2)").alias("total_revenue"),
-        rounded_mean(F.sum("paid"), F.count("paid")).alias("avg_order_value"),
+    return orders.selectExpr(
+        _rounded("sum(paid)", "1", MONEY_SCALE) + " AS total_revenue",
+        _rounded("sum(paid)", "count(paid)", MONEY_SCALE) + " AS avg_order_value",
     )
 
 
 def review_pack(t: Tables) -> DataFrame:
-    score, total = F.col("review_score"), F.count("*")
-    return t["order_reviews"].agg(
-        rounded_mean(F.sum(score), F.count(score)).alias("avg_review_score"),
-        count_with_share(F.count_if(score == 5), total).alias("five_star_reviews"),
-        count_with_share(F.count_if(score == 1), total).alias("one_star_reviews"),
+    return t["order_reviews"].selectExpr(
+        _rounded("sum(review_score)", "count(review_score)") + " AS avg_review_score",
+        _share("review_score = 5") + " AS five_star_reviews",
+        _share("review_score = 1") + " AS one_star_reviews",
     )
 
 
@@ -137,12 +137,11 @@ def top_state_pack(t: Tables) -> DataFrame:
         .select("customer_id")
         .join(t["customers"].select("customer_id", "customer_state"), "customer_id")
         .groupBy("customer_state")
-        .agg(F.count("*").alias("orders"))
-        .orderBy(F.desc("orders"), F.asc("customer_state"))
+        .count()
+        .orderBy(F.desc("count"), F.asc("customer_state"))
         .limit(1)
     )
-    label = F.concat(F.col("customer_state"), F.lit(" ("), F.col("orders").cast("string"), F.lit(" orders)"))
-    return counts.agg(F.max(label).alias("top_state"))
+    return counts.selectExpr("max(concat(customer_state, ' (', CAST(count AS STRING), ' orders)')) AS top_state")
 
 
 PACKS: dict[Callable[[Tables], DataFrame], tuple[str, ...]] = {
@@ -169,23 +168,20 @@ def kpi(t: Tables, name: str) -> DataFrame:
     return pack(t).select(name)
 
 
-def _report_text(df: DataFrame, name: str) -> Column:
-    whole = df.schema[name].dataType.typeName() in ("long", "integer") and name != "coverage_months"
-    return or_no_data(grouped_number(F.col(name)) if whole else F.col(name))
+COUNTS = {
+    "total_orders", "orders_with_reviews", "unique_customers", "repeat_customers", "active_sellers",
+    "product_categories", "states_with_orders", "cities_with_orders",
+}
 
 
 def _report_rows(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    order = list(LABELS)
-    rows = [
-        F.struct(
-            F.lit(order.index(name) + 1).alias("position"),
-            F.lit(LABELS[name][0]).alias("category"),
-            F.lit(LABELS[name][1]).alias("check_name"),
-            _report_text(df, name).alias("value"),
-        )
-        for name in names
-    ]
-    return df.select(F.inline(F.array(*rows)))
+    """Counts with thousands separators, other values as text, NULL as "No data"."""
+    order, cells = list(LABELS), []
+    for name in names:
+        category, label = LABELS[name]
+        text = f"format_number({name}, 0)" if name in COUNTS else f"CAST({name} AS STRING)"
+        cells.append(f"{order.index(name) + 1}, '{category}', '{label}', coalesce({text}, 'No data')")
+    return df.selectExpr(f"stack({len(names)}, {', '.join(cells)}) AS (position, category, check_name, value)")
 
 
 def _error_rows(spark: SparkSession, names: tuple[str, ...], error: Exception) -> DataFrame:

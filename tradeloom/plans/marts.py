@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import (
-    as_double,
     elapsed_days,
+    from_money,
     mean_elapsed_days,
     money,
     ratio,
@@ -77,7 +77,7 @@ def order_summary(t: Tables) -> DataFrame:
         *keys,
         days.alias("delivery_days"),
         F.coalesce("product_count", F.lit(0)).cast("bigint").alias("product_count"),
-        *[as_double(F.col(name)).alias(name) for name in totals.values()],
+        *[from_money(F.col(name)).alias(name) for name in totals.values()],
     )
 
 
@@ -99,8 +99,8 @@ def product_performance(t: Tables) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.coalesce(F.max("times_ordered"), F.lit(0)).alias("times_ordered"),
-            as_double(F.sum("price_total")).alias("total_revenue"),
-            _mean("price_total", "priced").alias("avg_price"),
+            from_money(F.sum("price_total")).alias("total_revenue"),
+            _mean_money("price_total", "priced").alias("avg_price"),
             _mean("score_total", "scored").alias("avg_review_score"),
         )
     )
@@ -129,9 +129,9 @@ def seller_performance(t: Tables) -> DataFrame:
         .agg(
             F.coalesce(F.max("total_orders"), F.lit(0)).alias("total_orders"),
             F.coalesce(F.max("unique_products_sold"), F.lit(0)).alias("unique_products_sold"),
-            as_double(F.sum("price_total")).alias("total_revenue"),
-            _mean("price_total", "priced").alias("avg_product_price"),
-            _mean("freight_total", "freighted").alias("avg_freight_value"),
+            from_money(F.sum("price_total")).alias("total_revenue"),
+            _mean_money("price_total", "priced").alias("avg_product_price"),
+            _mean_money("freight_total", "freighted").alias("avg_freight_value"),
             _mean("score_total", "scored").alias("avg_review_score"),
         )
     )
@@ -182,7 +182,7 @@ def customer_ltv(t: Tables) -> DataFrame:
             F.count_distinct("order_id").alias("total_orders"),
             F.min("order_purchase_timestamp").alias("first_order_date"),
             F.max("order_purchase_timestamp").alias("last_order_date"),
-            as_double(F.sum(times("value_total", "copies"))).alias("lifetime_value"),
+            from_money(F.sum(times("value_total", "copies"))).alias("lifetime_value"),
             ratio(
                 F.sum(F.col("score_total") * F.col("lines")), F.sum(F.col("scored") * F.col("lines"))
             ).alias("avg_review_score"),
@@ -227,8 +227,8 @@ def category_performance(t: Tables) -> DataFrame:
         "category",
         "order_count",
         "unique_products",
-        as_double(F.col("price_total")).alias("total_revenue"),
-        ratio(F.col("price_total"), F.col("priced")).alias("avg_price"),
+        from_money(F.col("price_total")).alias("total_revenue"),
+        ratio(from_money(F.col("price_total")), F.col("priced")).alias("avg_price"),
         ratio(F.col("score_total"), F.col("scored")).alias("avg_review_score"),
         "revenue_rank",
     )
@@ -238,7 +238,7 @@ def customer_lifetime_value(summary: DataFrame) -> DataFrame:
     """Orders and value per person over the order summary; no review weighting here."""
     return summary.groupBy("customer_unique_id").agg(
         F.count("*").alias("total_orders"),
-        as_double(F.sum(money(F.col("total_order_value")))).alias("lifetime_value"),
+        from_money(F.sum(money(F.col("total_order_value")))).alias("lifetime_value"),
     )
 
 
@@ -331,6 +331,10 @@ def _mean(total: str, count: str) -> Column:
     return ratio(F.max(total), F.max(count))
 
 
+def _mean_money(total: str, count: str) -> Column:
+    return ratio(from_money(F.max(total)), F.max(count))
+
+
 def _first_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(key).limit(rows)
 

@@ -34,10 +34,10 @@ PROFILE_SCHEMA = T.StructType(
 )
 
 
-def _declared(df: DataFrame) -> Column:
-    """Column position -> declared type name."""
-    pairs = [x for i, f in enumerate(df.schema.fields) for x in (F.lit(i), F.lit(f.dataType.simpleString()))]
-    return F.create_map(*pairs)
+def _declared(df: DataFrame) -> DataFrame:
+    """(position, column, dtype) of the declared columns."""
+    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(fields, "position int, column string, dtype string")
 
 
 def _suggestion(dtype: Column, all_dates: Column, all_numbers: Column) -> Column:
@@ -61,7 +61,7 @@ def column_samples(df: DataFrame, order_by: list[str] | None = None) -> DataFram
     kept = F.when(F.col("nth") <= SAMPLES, F.struct("nth", "value"))
     return (
         first_values(df, TYPE_SAMPLES, order_by)
-        .groupBy("position")
+        .groupBy("column")
         .agg(
             F.transform(F.array_sort(F.collect_list(kept)), lambda s: s["value"]).alias("sample_values"),
             F.bool_and(value.try_cast("timestamp_ntz").isNotNull()).alias("all_dates"),
@@ -72,9 +72,7 @@ def column_samples(df: DataFrame, order_by: list[str] | None = None) -> DataFram
 
 def suggested_types(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """(column, dtype, suggested_type) from the first hundred values of each column."""
-    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    listed = df.sparkSession.createDataFrame(fields, "position int, column string, dtype string")
-    return listed.join(column_samples(df, order_by), "position", "left").select(
+    return _declared(df).join(column_samples(df, order_by), "column", "left").select(
         "column", "dtype", _suggestion(F.col("dtype"), F.col("all_dates"), F.col("all_numbers")).alias("suggested_type")
     )
 
@@ -86,9 +84,10 @@ def sample_values(df: DataFrame, order_by: list[str] | None = None) -> DataFrame
 
 def profile(df: DataFrame, name: str, order_by: list[str] | None = None) -> DataFrame:
     """One row per column with counts, samples and a suggested type."""
-    dtype = _declared(df)[F.col("position")]
     nulls = F.col("total_rows") - F.col("non_null_count")
-    joined = column_counts(df).join(column_samples(df, order_by), "position", "left").withColumn("dtype", dtype)
+    joined = (
+        _declared(df).join(column_counts(df), "column", "left").join(column_samples(df, order_by), "column", "left")
+    )
     return joined.select(
         F.lit(name).alias("file_name"),
         "total_rows",

@@ -31,6 +31,7 @@ def local_session(cpus: int | str = 8, name: str = "tradeloom", **settings: str)
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tradeloom-wh-"))
     )
