@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
+# Money is summed exactly, in whole ten-thousandths, so totals do not depend on task order as
+# sums of doubles do. Each amount is split into a high and a low part and both are summed as
+# BIGINT: primitive arithmetic (decimal sums take twice as long), and no overflow below 2**43
+# rows. An overflow would raise, not wrap.
 MONEY_SCALE = 10_000
+LOW_BITS = 20
+
 
+def money_sums(amount: Column, name: str) -> list[Column]:
+    """The two exact partial sums of an amount, to be read back by ``money_total``."""
+    ticks = F.rint(amount * MONEY_SCALE).cast("bigint")
+    return [
+        F.sum(F.shiftright(ticks, LOW_BITS)).alias(f"{name}_hi"),
+        F.sum(ticks.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).alias(f"{name}_lo"),
+    ]
 
-def money(c: Column) -> Column:
-    """Money in whole ten-thousandths, so that sums do not depend on task order.
 
-    The way over a rounded BIGINT compiles to primitive arithmetic; a direct cast of a double
-    to a decimal goes through its text form. The decimal keeps sums from overflowing.
-    """
-    return F.rint(c * MONEY_SCALE).cast("bigint").cast("decimal(18,0)")
+def money_resums(name: str, weight: str) -> list[Column]:
+    """Sums of earlier sums, each counted ``weight`` times."""
+    return [F.sum(F.col(part) * F.col(weight)).alias(part) for part in (f"{name}_hi", f"{name}_lo")]
 
 
-def from_money(total: Column) -> Column:
-    """A money total as DOUBLE."""
-    return total.cast("double") / F.lit(float(MONEY_SCALE))
+def money_total(name: str, pick: Callable[[Column], Column] = lambda c: c) -> Column:
+    """The total as DOUBLE, NULL when nothing was summed."""
+    high, low = pick(F.col(f"{name}_hi")).cast("double"), pick(F.col(f"{name}_lo")).cast("double")
+    return (high * float(1 << LOW_BITS) + low) / F.lit(float(MONEY_SCALE))
 
 
 def ratio(total: Column, count: Column) -> Column:

@@ -11,15 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import money
+from ..functions.expressions import money_resums, money_sums
 
 
 def per_key(df: DataFrame, key: str, *measures: Column) -> DataFrame:
-    """One row per non-NULL key, ready to be the small side of a skewed join.
+    """One row per non-NULL key, ready to be joined to a side whose keys may be skewed.
 
     Grouping also on a hash of the key changes no result, but the rows then arrive hashed on
     two columns, so joining on the key gives this side its own exchange. AQE splits a hot key
     only when both join inputs are exchanges. A table bucketed on the key still needs none.
+    Where the other side has few rows per key, a plain ``groupBy`` saves that exchange.
     """
     return (
         df.where(F.col(key).isNotNull())
@@ -29,63 +30,51 @@ def per_key(df: DataFrame, key: str, *measures: Column) -> DataFrame:
     )
 
 
-def review_rollup(reviews: DataFrame) -> DataFrame:
-    """Per order: review rows, scored rows and the score total."""
-    return per_key(
-        reviews,
-        "order_id",
+def review_measures() -> list[Column]:
+    """Review rows, scored rows and the score total."""
+    return [
         F.count("*").alias("reviews"),
         F.count("review_score").alias("scored"),
         F.sum("review_score").alias("score_total"),
-    )
+    ]
 
 
-def item_totals() -> list[Column]:
-    """Exact money sums, NULL when no line has a value."""
-    price, freight = money(F.col("price")), money(F.col("freight_value"))
+def item_sums() -> list[Column]:
+    """Exact sums of price, freight and both; NULL when no line has a value."""
+    price, freight = F.col("price"), F.col("freight_value")
     return [
-        F.sum(price).alias("price_total"),
-        F.sum(freight).alias("freight_total"),
-        F.sum(price + freight).alias("value_total"),
+        *money_sums(price, "price"), *money_sums(freight, "freight"), *money_sums(price + freight, "value"),
     ]
 
 
 def item_measures() -> list[Column]:
-    """Line counts next to the money sums; Catalyst drops the ones a mart does not use."""
+    """Line counts next to the sums; Catalyst drops the ones a mart does not use."""
     return [
         F.count("*").alias("lines"),
         F.count("price").alias("priced"),
         F.count("freight_value").alias("freighted"),
-        *item_totals(),
+        *item_sums(),
     ]
 
 
 def with_review_weights(lines: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Left-join the review roll-up. ``copies`` is how often the plain join repeats a line."""
-    joined = lines.join(review_rollup(reviews), "order_id", "left")
+    """Left-join the reviews of the order. ``copies`` is how often the plain join repeats a line."""
+    joined = lines.join(per_key(reviews, "order_id", *review_measures()), "order_id", "left")
     return joined.select(
-        *[c for c in lines.columns],
+        *lines.columns,
         F.coalesce("reviews", F.lit(1)).alias("copies"),
         F.coalesce("scored", F.lit(0)).alias("scored"),
         F.coalesce("score_total", F.lit(0)).alias("score_total"),
     )
 
 
-def times(amount: str, weight: str) -> Column:
-    """Money total times a whole-number weight, kept exact."""
-    return F.col(amount) * F.col(weight).cast("decimal(10,0)")
-
-
-def weighted_review_sums() -> list[Column]:
-    """Score sum and scored rows as the plain join would see them: once per line."""
+def weighted_sums() -> list[Column]:
+    """Sums over the plain join: prices once per review of the order, scores once per line."""
     return [
+        *money_resums("price", "copies"),
+        *money_resums("freight", "copies"),
+        F.sum(F.col("priced") * F.col("copies")).alias("priced"),
+        F.sum(F.col("freighted") * F.col("copies")).alias("freighted"),
         F.sum(F.col("score_total") * F.col("lines")).alias("score_total"),
         F.sum(F.col("scored") * F.col("lines")).alias("scored"),
     ]
-
-
-def weighted_price_sums() -> list[Column]:
-    return [
-        F.sum(times("price_total", "copies")).alias("price_total"),
-        F.sum(F.col("priced") * F.col("copies")).alias("priced"),
-    ]

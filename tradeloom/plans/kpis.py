@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import MONEY_SCALE, money
+from ..functions.expressions import LOW_BITS, MONEY_SCALE, money_sums
 
 Tables = Mapping[str, DataFrame]
 
@@ -41,9 +41,15 @@ LABELS: dict[str, tuple[str, str]] = {
 }
 
 
-# Amounts are summed in exact ten-thousandths (see functions.expressions.money).
-def _money(column: str) -> str:
-    return f"CAST(CAST(rint({column} * {MONEY_SCALE}) AS BIGINT) AS DECIMAL(18,0))"
+def _total(high: str, low: str) -> str:
+    """The total of two partial money sums (see functions.expressions), in whole ticks."""
+    return f"(CAST({high} AS DECIMAL(28,0)) * {1 << LOW_BITS} + CAST({low} AS DECIMAL(28,0)))"
+
+
+def _ticks(column: str) -> str:
+    """The exact sum of a money column, in ticks."""
+    amount = f"CAST(rint({column} * {MONEY_SCALE}) AS BIGINT)"
+    return _total(f"sum(shiftright({amount}, {LOW_BITS}))", f"sum({amount} & {(1 << LOW_BITS) - 1})")
 
 
 def _rounded(total: str, count: str, scale: int = 1) -> str:
@@ -100,7 +106,7 @@ def customer_pack(t: Tables) -> DataFrame:
 
 def item_pack(t: Tables) -> DataFrame:
     def mean(column: str) -> str:
-        return _rounded(f"sum({_money(column)})", f"count({column})", MONEY_SCALE)
+        return _rounded(_ticks(column), f"count({column})", MONEY_SCALE)
 
     return t["order_items"].selectExpr(
         "count(DISTINCT seller_id) AS active_sellers",
@@ -115,10 +121,11 @@ def product_pack(t: Tables) -> DataFrame:
 
 def payment_pack(t: Tables) -> DataFrame:
     """Revenue, and the mean of the per-order totals."""
-    orders = t["order_payments"].groupBy("order_id").agg(F.sum(money(F.col("payment_value"))).alias("paid"))
+    orders = t["order_payments"].groupBy("order_id").agg(*money_sums(F.col("payment_value"), "paid"))
+    total = _total("sum(paid_hi)", "sum(paid_lo)")
     return orders.selectExpr(
-        _rounded("sum(paid)", "1", MONEY_SCALE) + " AS total_revenue",
-        _rounded("sum(paid)", "count(paid)", MONEY_SCALE) + " AS avg_order_value",
+        _rounded(total, "1", MONEY_SCALE) + " AS total_revenue",
+        _rounded(total, "count(paid_hi)", MONEY_SCALE) + " AS avg_order_value",
     )
 
 

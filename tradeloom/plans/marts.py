@@ -18,19 +18,18 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import (
     elapsed_days,
-    from_money,
     mean_elapsed_days,
-    money,
+    money_resums,
+    money_sums,
+    money_total,
     ratio,
 )
 from ..operators.rollups import (
     item_measures,
-    item_totals,
+    item_sums,
     per_key,
-    review_rollup,
-    times,
-    weighted_price_sums,
-    weighted_review_sums,
+    review_measures,
+    weighted_sums,
     with_review_weights,
 )
 
@@ -48,37 +47,28 @@ def order_summary(t: Tables) -> DataFrame:
         "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date"
     )
     customers = t["customers"].select("customer_id", "customer_unique_id", "customer_city", "customer_state")
-    items = per_key(
-        t["order_items"],
-        "order_id",
-        F.count_distinct("product_id").alias("product_count"),
-        *item_totals(),
+    totals = {"total_product_value": "price", "total_freight_value": "freight", "total_order_value": "value"}
+    items = (
+        t["order_items"]
+        .groupBy("order_id")
+        .agg(F.count_distinct("product_id").alias("product_count"), *item_sums())
+        .select("order_id", "product_count", *[money_total(part).alias(name) for name, part in totals.items()])
     )
     keys = [
         "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state", "order_status",
         "order_purchase_timestamp", "order_delivered_customer_date",
     ]
-    totals = {
-        "price_total": "total_product_value",
-        "freight_total": "total_freight_value",
-        "value_total": "total_order_value",
-    }
-    folded = (
+    days = elapsed_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
+    return (
         orders.join(customers, "customer_id", "left")
         .join(items, "order_id", "left")
         .groupBy(*keys)
         .agg(
-            F.max("product_count").alias("product_count"),
-            *[F.sum(source).alias(name) for source, name in totals.items()],
+            F.max(days).alias("delivery_days"),
+            F.coalesce(F.max("product_count"), F.lit(0)).alias("product_count"),
+            *[(F.max(name) * F.count("*")).alias(name) for name in totals],
         )
     )
-    days = elapsed_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
-    return folded.select(
-        *keys,
-        days.alias("delivery_days"),
-        F.coalesce("product_count", F.lit(0)).cast("bigint").alias("product_count"),
-        *[from_money(F.col(name)).alias(name) for name in totals.values()],
-    )
 
 
 def product_performance(t: Tables) -> DataFrame:
@@ -88,7 +78,7 @@ def product_performance(t: Tables) -> DataFrame:
     sold = (
         with_review_weights(lines, t["order_reviews"])
         .groupBy("product_id")
-        .agg(F.count("order_id").alias("times_ordered"), *weighted_price_sums(), *weighted_review_sums())
+        .agg(F.count("order_id").alias("times_ordered"), *weighted_sums())
     )
     keys = ["product_id", "product_category_name", "product_category_name_english"]
     return (
@@ -99,9 +89,9 @@ def product_performance(t: Tables) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.coalesce(F.max("times_ordered"), F.lit(0)).alias("times_ordered"),
-            from_money(F.sum("price_total")).alias("total_revenue"),
-            _mean_money("price_total", "priced").alias("avg_price"),
-            _mean("score_total", "scored").alias("avg_review_score"),
+            (money_total("price", F.max) * F.count("*")).alias("total_revenue"),
+            ratio(money_total("price", F.max), F.max("priced")).alias("avg_price"),
+            ratio(F.max("score_total"), F.max("scored")).alias("avg_review_score"),
         )
     )
 
@@ -115,10 +105,7 @@ def seller_performance(t: Tables) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.count_distinct("product_id").alias("unique_products_sold"),
-            F.sum(times("freight_total", "copies")).alias("freight_total"),
-            F.sum(F.col("freighted") * F.col("copies")).alias("freighted"),
-            *weighted_price_sums(),
-            *weighted_review_sums(),
+            *weighted_sums(),
         )
     )
     return (
@@ -129,10 +116,10 @@ def seller_performance(t: Tables) -> DataFrame:
         .agg(
             F.coalesce(F.max("total_orders"), F.lit(0)).alias("total_orders"),
             F.coalesce(F.max("unique_products_sold"), F.lit(0)).alias("unique_products_sold"),
-            from_money(F.sum("price_total")).alias("total_revenue"),
-            _mean_money("price_total", "priced").alias("avg_product_price"),
-            _mean_money("freight_total", "freighted").alias("avg_freight_value"),
-            _mean("score_total", "scored").alias("avg_review_score"),
+            (money_total("price", F.max) * F.count("*")).alias("total_revenue"),
+            ratio(money_total("price", F.max), F.max("priced")).alias("avg_product_price"),
+            ratio(money_total("freight", F.max), F.max("freighted")).alias("avg_freight_value"),
+            ratio(F.max("score_total"), F.max("scored")).alias("avg_review_score"),
         )
     )
 
@@ -159,19 +146,18 @@ def daily_orders(t: Tables) -> DataFrame:
 
 def customer_ltv(t: Tables) -> DataFrame:
     """One row per person and state: a person seen in two states has two rows."""
-    items = per_key(
-        t["order_items"],
-        "order_id",
-        F.count("*").alias("lines"),
-        F.sum(money(F.col("price")) + money(F.col("freight_value"))).alias("value_total"),
+    # One row per order on every side, so these joins share one partitioning and cannot skew.
+    items = (
+        t["order_items"]
+        .groupBy("order_id")
+        .agg(F.count("*").alias("lines"), *money_sums(F.col("price") + F.col("freight_value"), "value"))
     )
     orders = (
         t["orders"]
         .select("order_id", "customer_id", "order_purchase_timestamp")
         .join(items, "order_id", "left")
-        .join(review_rollup(t["order_reviews"]), "order_id", "left")
-        .withColumn("copies", F.coalesce("reviews", F.lit(1)))
-        .withColumn("lines", F.coalesce("lines", F.lit(1)))
+        .join(t["order_reviews"].groupBy("order_id").agg(*review_measures()), "order_id", "left")
+        .withColumns({"copies": F.coalesce("reviews", F.lit(1)), "lines": F.coalesce("lines", F.lit(1))})
     )
     return (
         t["customers"]
@@ -182,10 +168,18 @@ def customer_ltv(t: Tables) -> DataFrame:
             F.count_distinct("order_id").alias("total_orders"),
             F.min("order_purchase_timestamp").alias("first_order_date"),
             F.max("order_purchase_timestamp").alias("last_order_date"),
-            from_money(F.sum(times("value_total", "copies"))).alias("lifetime_value"),
-            ratio(
-                F.sum(F.col("score_total") * F.col("lines")), F.sum(F.col("scored") * F.col("lines"))
-            ).alias("avg_review_score"),
+            *money_resums("value", "copies"),
+            F.sum(F.col("score_total") * F.col("lines")).alias("score_total"),
+            F.sum(F.col("scored") * F.col("lines")).alias("scored"),
+        )
+        .select(
+            "customer_unique_id",
+            "customer_state",
+            "total_orders",
+            "first_order_date",
+            "last_order_date",
+            money_total("value").alias("lifetime_value"),
+            ratio(F.col("score_total"), F.col("scored")).alias("avg_review_score"),
         )
     )
 
@@ -210,7 +204,8 @@ def category_performance(t: Tables) -> DataFrame:
     measures = (
         with_review_weights(lines, t["order_reviews"])
         .groupBy("category")
-        .agg(F.count("order_id").alias("order_count"), *weighted_price_sums(), *weighted_review_sums())
+        .agg(F.count("order_id").alias("order_count"), *weighted_sums())
+        .withColumn("total_revenue", money_total("price"))
     )
     products = (
         t["order_items"]
@@ -221,14 +216,14 @@ def category_performance(t: Tables) -> DataFrame:
         .agg(F.count_distinct("product_id").alias("unique_products"))
     )
     # The only unpartitioned window: its input is one short row per category label.
-    revenue_order = Window.orderBy(F.desc_nulls_first("price_total"))
+    revenue_order = Window.orderBy(F.desc_nulls_first("total_revenue"))
     ranked = measures.withColumn("revenue_rank", F.rank().over(revenue_order).cast("bigint"))
     return ranked.join(products, "category").select(
         "category",
         "order_count",
         "unique_products",
-        from_money(F.col("price_total")).alias("total_revenue"),
-        ratio(from_money(F.col("price_total")), F.col("priced")).alias("avg_price"),
+        "total_revenue",
+        ratio(F.col("total_revenue"), F.col("priced")).alias("avg_price"),
         ratio(F.col("score_total"), F.col("scored")).alias("avg_review_score"),
         "revenue_rank",
     )
@@ -236,10 +231,10 @@ def category_performance(t: Tables) -> DataFrame:
 
 def customer_lifetime_value(summary: DataFrame) -> DataFrame:
     """Orders and value per person over the order summary; no review weighting here."""
-    return summary.groupBy("customer_unique_id").agg(
-        F.count("*").alias("total_orders"),
-        from_money(F.sum(money(F.col("total_order_value")))).alias("lifetime_value"),
+    sums = summary.groupBy("customer_unique_id").agg(
+        F.count("*").alias("total_orders"), *money_sums(F.col("total_order_value"), "value")
     )
+    return sums.select("customer_unique_id", "total_orders", money_total("value").alias("lifetime_value"))
 
 
 def geo_sales(summary: DataFrame) -> DataFrame:
@@ -326,15 +321,6 @@ def _translation(t: Tables) -> DataFrame:
     return t["product_category_translation"].select("product_category_name", "product_category_name_english")
 
 
-def _mean(total: str, count: str) -> Column:
-    """Mean after folding: every folded row carries the same totals, so any one of them will do."""
-    return ratio(F.max(total), F.max(count))
-
-
-def _mean_money(total: str, count: str) -> Column:
-    return ratio(from_money(F.max(total)), F.max(count))
-
-
 def _first_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(key).limit(rows)
 
