@@ -38,9 +38,9 @@ def check_duplicates(df: DataFrame, key: str | list[str]) -> DataFrame:
 
     NULL is a key like any other. Without duplicates the second column is NULL.
     """
-    repeated = df.groupBy(*_keys(key)).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = df.groupBy(*_keys(key)).agg(F.count("*").alias("_copies")).where("_copies > 1")
     return repeated.agg(
-        F.count("*").alias("duplicate_count"), F.sum(F.col("n") - 1).alias("total_duplicates")
+        F.count("*").alias("duplicate_count"), F.sum(F.col("_copies") - 1).alias("total_duplicates")
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 from fnmatch import fnmatch
-from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,16 +61,14 @@ def read_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 def discover(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
     """The datasets of a folder: matching files, and folders of part files with such a name.
 
-    Only names are listed, no content is read, and one name per dataset reaches the driver.
+    One directory listing through Hadoop, so any file system Spark reads will do. Empty files
+    are listed too, which Spark's own file sources leave out.
     """
     root = folder.rstrip("/")
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    )
-    start = F.expr(f"locate('{urlparse(root).path}/', path)") + F.lit(len(urlparse(root).path) + 1)
-    top = F.split_part(F.col("path").substr(start, F.length("path")), F.lit("/"), F.lit(1))
-    names = [row.name for row in listed.select(top.alias("name")).distinct().collect()]
-    return [f"{root}/{name}" for name in sorted(names) if fnmatch(name, pattern)]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(path)
+    names = sorted(status.getPath().getName() for status in found)
+    return [f"{root}/{name}" for name in names if fnmatch(name, pattern)]
 
 
 def file_name(path: str) -> str:

@@ -46,10 +46,10 @@ def write_table(df: DataFrame, schema: str, table: str, layout: Layout | None =
     range column: rows of one hot value are spread over several files.
     """
     layout = layout or Layout()
-    if layout.sort_by and not layout.bucket_by:
+    clustered = [c for c in (*layout.partition_by, *layout.sort_by) if c in df.columns]
+    if clustered and not layout.bucket_by:
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        df = df.repartitionByRange(*layout.partition_by, *layout.sort_by, spread)
-        df = df.sortWithinPartitions(*layout.partition_by, *layout.sort_by)
+        df = df.repartitionByRange(*clustered, spread).sortWithinPartitions(*clustered)
     writer = df.write.mode("overwrite").format("parquet")
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
