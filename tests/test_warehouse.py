@@ -110,6 +110,7 @@ def test_layouts_keep_rows_and_prune(spark, shop, prefix):
     for layout in (
         None,
         Layout(sort_by=("order_id",)),
+        Layout(sort_by=("order_id",), range_clustered=True),
         Layout(partition_by=("seller_id",), sort_by=("order_id",)),
         Layout(bucket_by=("order_id",), buckets=4),
     ):

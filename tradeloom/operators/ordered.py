@@ -80,18 +80,15 @@ def with_previous(
     first row of a bucket takes the last value of the group's preceding bucket.
     """
     cut = df.withColumn("_bucket", bucket)
-    keys = [*group, "_bucket"]
-    local = Window.partitionBy(*keys).orderBy(order)
+    local = Window.partitionBy(*group, "_bucket").orderBy(order)
     lasts = (
-        cut.groupBy(*keys)
+        cut.groupBy(*group, "_bucket")
         .agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("_last"))
         .withColumn("_carried", F.lag("_last").over(Window.partitionBy(*group).orderBy("_bucket")))
-        .drop("_last")
-    )
-    return (
-        cut.withColumn("_nth", F.row_number().over(local))
-        .withColumn(previous, F.lag(value).over(local))
-        .join(lasts, keys, "left")
-        .withColumn(previous, F.when(F.col("_nth") == 1, F.col("_carried.v")).otherwise(F.col(previous)))
-        .drop("_nth", "_carried", "_bucket")
+        .select("_carried", *[F.col(k).alias(f"_key{i}") for i, k in enumerate([*group, "_bucket"])])
     )
+    rows = cut.withColumn("_nth", F.row_number().over(local)).withColumn(previous, F.lag(value).over(local))
+    # NULL is a group of its own in a window, so the groups are matched null-safe.
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate([*group, "_bucket"])]
+    earlier = F.when(F.col("_nth") == 1, F.col("_carried.v")).otherwise(F.col(previous))
+    return rows.join(lasts, reduce(operator.and_, same), "left").select(*df.columns, earlier.alias(previous))

@@ -41,15 +41,18 @@ def create_layers(spark: SparkSession, prefix: str = "", location: str | None =
 def write_table(df: DataFrame, schema: str, table: str, layout: Layout | None = None) -> None:
     """Replace a Parquet table.
 
-    Sorted layouts are range-partitioned on the lookup columns first, so a file covers a narrow
-    range of them and its min/max statistics let scans skip it. A hash of the row is the last
-    range column: rows of one hot value are spread over several files.
+    Sorting happens inside each task: no shuffle, and the row groups of a file cover narrow
+    ranges of the lookup columns, so their min/max statistics let scans skip most of them.
+    ``range_clustered`` also shuffles by range, which makes whole files skippable but reads the
+    input twice. A hash of the row is its last range column, so the rows of one hot value are
+    spread over several files.
     """
     layout = layout or Layout()
-    clustered = [c for c in (*layout.partition_by, *layout.sort_by) if c in df.columns]
-    if clustered and not layout.bucket_by:
-        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        df = df.repartitionByRange(*clustered, spread).sortWithinPartitions(*clustered)
+    ordered = [c for c in (*layout.partition_by, *layout.sort_by) if c in df.columns]
+    if ordered and not layout.bucket_by:
+        if layout.range_clustered:
+            df = df.repartitionByRange(*ordered, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        df = df.sortWithinPartitions(*ordered)
     writer = df.write.mode("overwrite").format("parquet")
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
