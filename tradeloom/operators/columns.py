@@ -1,68 +1,96 @@
-"""Long-format views of a table: one row per (column, value)."""
+"""Per-column operators: counts and first values of every column of a table."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small_frame
+
 NESTED = (T.ArrayType, T.MapType, T.StructType)
+DIGEST_OVER = 64
+
+
+def _column(field: T.StructField) -> Column:
+    return F.col(f"`{field.name}`")
 
 
 def text_value(field: T.StructField) -> Column:
-    """A text form under which two values are equal exactly when the originals are."""
-    c = F.col(f"`{field.name}`")
+    """The value as text."""
+    c = _column(field)
     if isinstance(field.dataType, NESTED):
         return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v"))))
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
-    if isinstance(field.dataType, T.BinaryType):
-        return F.base64(c)
-    return c.cast("string")
+    return F.base64(c) if isinstance(field.dataType, T.BinaryType) else c.cast("string")
 
 
-def long_format(df: DataFrame, *keep: str) -> DataFrame:
-    """(keep..., column, value) with NULL values included."""
-    fields = [f for f in df.schema.fields if f.name not in keep]
-    text = df.select(*keep, *[text_value(f).alias(f.name) for f in fields])
-    return text.unpivot(list(keep), [F.col(f"`{f.name}`") for f in fields], "column", "value")
+def _countable(field: T.StructField) -> tuple[str, Column]:
+    """A common type, and the value in it such that equal means equal.
 
-
-def digest_long(value: Column, limit: int = 64) -> Column:
-    """Long texts as SHA-256 of the whole text, so distinct counting shuffles 64 bytes."""
-    return F.when(F.length(value) > limit, F.sha2(value.cast("binary"), 256)).otherwise(value)
+    Long texts become the SHA-256 of the whole text, so counting them shuffles 64 bytes each.
+    """
+    c = _column(field)
+    if isinstance(field.dataType, T.IntegralType):
+        return "bigint", c.cast("bigint")
+    if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+        return "double", c.cast("double")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType, *NESTED)):
+        text = text_value(field)
+        return "string", F.when(F.length(text) > DIGEST_OVER, F.sha2(text.cast("binary"), 256)).otherwise(text)
+    return field.dataType.simpleString(), c
 
 
 def column_counts(df: DataFrame) -> DataFrame:
-    """Per column: rows, non-NULL values and distinct non-NULL values, in one scan."""
-    return (
-        long_format(df)
-        .withColumn("value", digest_long(F.col("value")))
+    """Per column: rows, non-NULL values and distinct non-NULL values.
+
+    Columns of one type are unpivoted together and counted in one grouping; as each type reads
+    just its own columns, the table is still read once. Repeated values meet before the shuffle.
+    """
+    kinds: dict[str, list[Column]] = {}
+    for field in df.schema.fields:
+        kind, value = _countable(field)
+        kinds.setdefault(kind, []).append(value.alias(field.name))
+    parts = [
+        df.select(*values)
+        .unpivot([], "*", "column", "value")
         .groupBy("column")
         .agg(
             F.count("*").alias("total_rows"),
             F.count("value").alias("non_null_count"),
             F.count_distinct("value").alias("unique_count"),
         )
-    )
+        for values in kinds.values()
+    ]
+    # Every column is in one part only; saying so lets a caller that drops the counts skip them.
+    counts = [F.max(c).alias(c) for c in ("total_rows", "non_null_count", "unique_count")]
+    return reduce(DataFrame.unionAll, parts).groupBy("column").agg(*counts)
 
 
 def first_values(df: DataFrame, k: int, order_by: list[str] | None = None) -> DataFrame:
-    """(column, value, nth): the first k non-NULL values of every column.
+    """(column, value, nth): the first k non-NULL values of every column, as text.
 
-    Without ``order_by`` the order is that of the input files. Each task keeps k rows per
-    column before anything is shuffled, and a second cut per thousand tasks keeps the last
-    step small however many tasks there are.
+    With ``order_by`` every task hands on its k smallest rows (a top-k, not a sort). Without it
+    the order is that of the input files: ``take`` then reads only as many files as it needs,
+    and k values per column pass through the driver.
     """
-    order = [F.col(c) for c in order_by] if order_by else [F.monotonically_increasing_id()]
-    keyed = df.withColumn("_task", F.spark_partition_id()).withColumn("_order", F.struct(*order))
-    values = long_format(keyed, "_task", "_order").where(F.col("value").isNotNull())
-    block = Window.partitionBy("column", F.floor(F.col("_task") / 1000)).orderBy("_order")
-    whole = Window.partitionBy("column").orderBy("_order")
-    return (
-        values.withColumn("_nth", F.row_number().over(block))
-        .where(F.col("_nth") <= k)
-        .withColumn("nth", F.row_number().over(whole))
-        .where(F.col("nth") <= k)
-        .select("column", "value", "nth")
-    )
+    if order_by:
+        heads = [
+            df.where(_column(f).isNotNull())
+            .orderBy(*order_by)
+            .limit(k)
+            .select(F.lit(f.name).alias("column"), text_value(f).alias("value"), F.struct(*order_by).alias("_order"))
+            for f in df.schema.fields
+        ]
+        nth = F.row_number().over(Window.partitionBy("column").orderBy("_order"))
+        return reduce(DataFrame.unionAll, heads).select("column", "value", nth.alias("nth"))
+    # The first k rows settle every column without NULLs among them; the others are asked singly.
+    first = df.select(*[text_value(f) for f in df.schema.fields]).take(k)
+    rows = []
+    for i, f in enumerate(df.schema.fields):
+        head = [row[i] for row in first if row[i] is not None]
+        if len(head) < k and len(first) == k:
+            head = [row[0] for row in df.where(_column(f).isNotNull()).select(text_value(f)).take(k)]
+        rows += [(f.name, value, n) for n, value in enumerate(head, start=1)]
+    return small_frame(df.sparkSession, rows, "column string, value string, nth int")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import percent
 from ..operators.columns import column_counts, first_values
+from ..session import small_frame
 from ..sources.files import discover, file_name, read_inferred
 from .quality import union
 
@@ -37,7 +38,7 @@ PROFILE_SCHEMA = T.StructType(
 def _declared(df: DataFrame) -> DataFrame:
     """(position, column, dtype) of the declared columns."""
     fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(fields, "position int, column string, dtype string")
+    return small_frame(df.sparkSession, fields, "position int, column string, dtype string")
 
 
 def _suggestion(dtype: Column, all_dates: Column, all_numbers: Column) -> Column:
@@ -107,8 +108,8 @@ def profile(df: DataFrame, name: str, order_by: list[str] | None = None) -> Data
 
 def profile_failure(spark: SparkSession, name: str, error: Exception) -> DataFrame:
     """The single row of a file that could not be read."""
-    row = dict.fromkeys(PROFILE_SCHEMA.names) | {"file_name": name, "error": str(error)[:200]}
-    return spark.createDataFrame([row], PROFILE_SCHEMA)
+    known = {"file_name": name, "error": str(error)[:200]}
+    return small_frame(spark, [tuple(known.get(n) for n in PROFILE_SCHEMA.names)], PROFILE_SCHEMA)
 
 
 def profile_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -119,7 +120,7 @@ def profile_files(spark: SparkSession, paths: list[str]) -> DataFrame:
             parts.append(profile(read_inferred(spark, path), file_name(path)))
         except (PySparkException, ValueError) as error:
             parts.append(profile_failure(spark, file_name(path), error))
-    return union(parts) if parts else spark.createDataFrame([], PROFILE_SCHEMA)
+    return union(parts) if parts else small_frame(spark, [], PROFILE_SCHEMA)
 
 
 def profile_folder(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import percent
 from ..operators.ordered import exact_quantiles, with_previous
+from ..session import small_frame
 from ..sources.specs import LINKS
 
 Tables = Mapping[str, DataFrame]
@@ -154,7 +155,7 @@ def rules_frame(spark: SparkSession, rules: list[Rule], schema: str = "raw_data"
     rows = [
         (i, r.name, r.table, r.query(schema), r.expected, r.severity, r.active) for i, r in enumerate(rules, start=1)
     ]
-    return spark.createDataFrame(rows, RULE_SCHEMA).withColumn("created_at", F.current_timestamp())
+    return small_frame(spark, rows, RULE_SCHEMA).withColumn("created_at", F.current_timestamp())
 
 
 def violations(df: DataFrame, predicate: str) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Only runtime settings, so they can also be applied to a session somebody else built.
 # forceOptimizeSkewedJoin lets AQE split a hot key even where the rows must be
@@ -51,3 +54,16 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tradeloom-work-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
+    """A DataFrame of a few driver-side rows, such as a load summary.
+
+    Coming in through Arrow it is a local relation: its size is known to the planner and no
+    job is needed to read it back.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(fields)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    table = pa.table([pa.array(values, field.type) for values, field in zip(columns, arrow, strict=True)], schema=arrow)
+    return spark.createDataFrame(table, fields)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import pretty_size
 from ..plans.marts import MATERIALIZED, VIEWS
+from ..session import small_frame
 from ..sources.specs import TABLES, Layout, TableSpec
 
 LAYERS = {
@@ -35,7 +36,7 @@ def create_layers(spark: SparkSession, prefix: str = "", location: str | None =
         where = f" LOCATION {_literal(f'{location}/{prefix}{name}')}" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(prefix + name)} COMMENT {_literal(comment)}{where}")
     made = [spark.catalog.getDatabase(prefix + name) for name in LAYERS]
-    return spark.createDataFrame([(d.name, d.description) for d in made], "layer string, comment string")
+    return small_frame(spark, [(d.name, d.description) for d in made], "layer string, comment string")
 
 
 def write_table(df: DataFrame, schema: str, table: str, layout: Layout | None = None) -> None:
@@ -101,7 +102,7 @@ def refresh_all(
     for name in names or MATERIALIZED:
         write_table(MATERIALIZED[name](t), schema, name)
         done.append((name, spark.table(quoted(schema, name)).count()))
-    return spark.createDataFrame(done, "name string, row_count bigint")
+    return small_frame(spark, done, "name string, row_count bigint")
 
 
 def _tables(spark: SparkSession, schema: str) -> list[str]:
@@ -116,7 +117,7 @@ def analyze_schema(spark: SparkSession, schema: str) -> DataFrame:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
         now = spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_literal(ANALYZED)} = {_literal(now)})")
-    return spark.createDataFrame([(n, True) for n in names], "table_name string, analyzed boolean")
+    return small_frame(spark, [(n, True) for n in names], "table_name string, analyzed boolean")
 
 
 def table_stats(spark: SparkSession, schema: str, table: str) -> DataFrame:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import small_frame
 from ..sources.files import Manifest, discover, locate, read_entry, read_table
 from ..sources.specs import TABLES, TableSpec
 from .catalog import quoted, write_table
 from .monitoring import append_load_history
 
+PARALLEL_LOADS = 4
 SUMMARY_SCHEMA = (
     "table_name string, schema_name string, status string, rows bigint, error string, seconds double"
 )
@@ -47,8 +50,10 @@ def load_all(
             raise FileNotFoundError(f"no file like {spec.file_pattern}")
         write_table(read_table(spark, path, spec), schema, spec.name, spec.layout)
 
-    rows = [_attempt(spark, schema, spec.name, lambda spec=spec: load(spec)) for spec in specs.values()]
-    summary = spark.createDataFrame(rows, SUMMARY_SCHEMA)
+    # Loads are independent jobs; running a few at a time fills the executors a small table leaves idle.
+    with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
+        rows = list(pool.map(lambda spec: _attempt(spark, schema, spec.name, lambda: load(spec)), specs.values()))
+    summary = small_frame(spark, rows, SUMMARY_SCHEMA)
     if history:
         append_load_history(spark, summary, history)
     return summary
@@ -67,4 +72,4 @@ def load_manifest(spark: SparkSession, manifest: Manifest, root: str = "", schem
         _attempt(spark, target, e.table, lambda e=e: write_table(read_entry(spark, e, root), target, e.table))
         for e in manifest.entries
     ]
-    return spark.createDataFrame(rows, SUMMARY_SCHEMA)
+    return small_frame(spark, rows, SUMMARY_SCHEMA)
