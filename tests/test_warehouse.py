@@ -4,7 +4,7 @@ import uuid
 import pytest
 
 from tradeloom.plans import marts, profiling, quality
-from tradeloom.sources.files import Manifest, discover, read_table
+from tradeloom.sources.files import Manifest, discover, may_break_lines, read_table
 from tradeloom.sources.specs import ORDER_REVIEWS, TABLES, Layout
 from tradeloom.warehouse import catalog, loading, monitoring
 
@@ -66,6 +66,11 @@ def test_multi_line_quoted_text(spark, folder):
     assert got[1].review_comment_title is None
 
 
+def test_only_files_with_line_breaks_are_read_whole():
+    assert may_break_lines("/x/shop_order_reviews_dataset.csv") and may_break_lines("/x/unknown.csv")
+    assert not may_break_lines("/x/shop_orders_dataset.csv")
+
+
 def test_load_all_isolates_failures(spark, folder, prefix):
     raw, history = f"{prefix}raw_data", f"{prefix}data_quality.load_history"
     summary = loading.load_all(spark, folder, raw, history=history)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import CASTS
-from .specs import TableSpec
+from .specs import TABLES, TableSpec
 
 
 def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -43,14 +43,24 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return clean(_csv_text(spark, path, spec.multi_line), spec.columns)
 
 
-def read_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def may_break_lines(path: str) -> bool:
+    """Whether values of a CSV file may hold line breaks, so that it cannot be read in splits.
+
+    Files of a known table follow its spec; any other file is taken to, which is always right
+    but reads each file in one task.
+    """
+    spec = next((s for s in TABLES.values() if fnmatch(file_name(path), s.file_pattern)), None)
+    return spec is None or spec.multi_line
+
+
+def read_inferred(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A CSV file with types inferred from its whole content."""
     df = (
         spark.read.option("header", True)
         .option("inferSchema", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
+        .option("multiLine", may_break_lines(path) if multi_line is None else multi_line)
         .csv(path)
     )
     if not df.columns:
@@ -110,5 +120,5 @@ def read_entry(spark: SparkSession, entry: ManifestEntry, root: str = "") -> Dat
     reader = spark.read.format(entry.format)
     if entry.format == "csv":
         reader = reader.option("header", entry.header).option("quote", '"').option("escape", '"')
-        reader = reader.option("multiLine", True)
+        reader = reader.option("multiLine", may_break_lines(path))
     return reader.load(path)
