@@ -102,9 +102,6 @@ def test_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-test_unique.__test__ = test_not_null.__test__ = False
-
-
 # Validation rules
 
 
@@ -305,8 +302,6 @@ def metric_trend(metrics: DataFrame) -> DataFrame:
 def daily_row_counts(df: DataFrame, table: str, timestamp: str, metric: str | Column = "row_count") -> DataFrame:
     """A metric history read off a table's own dates: rows per day."""
     label = F.lit(metric) if isinstance(metric, str) else metric
-    return df.groupBy(label.alias("metric_name"), F.date_trunc("day", timestamp).cast("timestamp_ntz").alias("check_timestamp")).agg(
-        F.count("*").alias("metric_value")
-    ).select(F.lit(table).alias("table_name"), "metric_name", "check_timestamp", "metric_value")
-
-
+    day = F.date_trunc("day", timestamp).cast("timestamp_ntz")
+    counts = df.groupBy(label.alias("metric_name"), day.alias("check_timestamp")).agg(F.count("*").alias("metric_value"))
+    return counts.select(F.lit(table).alias("table_name"), "metric_name", "check_timestamp", "metric_value")
