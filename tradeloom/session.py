@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,22 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once for each application."""
+    context, package = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if not getattr(context, "_tradeloom_shipped", False):
+        archive = os.path.join(tempfile.mkdtemp(prefix="tradeloom-py-"), "tradeloom.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(archive)
+        context._tradeloom_shipped = True
+    return spark
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
     """A DataFrame of a few driver-side rows, such as a load summary.
 
