@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination
+from . import bpe, decontamination
+
+
+def vocabulary_path() -> str:
+    """The vocabulary of the registered queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, vocabulary_path()).drop("text"), vocabulary_path())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -47,6 +65,7 @@ FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 QUERIES = {
+    "op5_bpe": op5_bpe,
     "op10_decontamination": op10_decontamination,
 }
 
