@@ -21,6 +21,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -28,8 +29,8 @@ from pyspark.sql import types as T
 #: Fixed value: how byte-level BPE cuts texts into pieces.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-BLOCK_CHARS = 6_000_000
-KNOWN_PIECES = 400_000
+BLOCK_BYTES = 3_000_000
+KNOWN_PIECES = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -142,7 +143,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.ids, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.lengths = np.empty(0, np.int32), np.empty(0, np.int64)
 
     def pieces(self, text: str) -> list[str]:
         if self.vocab.special is None or not self.vocab.special.search(text):
@@ -162,7 +163,7 @@ class Encoder:
             added = [p for p in new if p.startswith("\0added:") and p[7:] in self.vocab.added]
             ids, lengths = merge_pieces([p.encode() for p in plain], self.vocab)
             self.codes.update(zip([*plain, *added], range(len(self.codes), len(self.codes) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, ids, np.array([self.vocab.added[p[7:]] for p in added], np.int64)])
+            self.ids = np.concatenate([self.ids, ids.astype(np.int32), np.array([self.vocab.added[p[7:]] for p in added], np.int32)])
             self.lengths = np.concatenate([self.lengths, lengths, np.ones(len(added), np.int64)])
         codes = np.fromiter((self.codes[p] for pieces in cut for p in pieces), np.int64)
         counts = self.lengths[codes]
@@ -178,15 +179,15 @@ def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
     return values[np.repeat(shift, counts) + np.arange(counts.sum())]
 
 
-def _slices(texts: list[str | None], limit: int) -> Iterator[tuple[int, int]]:
-    low = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text or "") > limit:
-            yield low, i
-            low, size = i, 0
-        size += len(text or "")
-    if low < len(texts):
-        yield low, len(texts)
+def _slices(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """Parts of a text column of at most ``limit`` bytes, or one text."""
+    ends = np.cumsum(pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < len(texts):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield texts.slice(low, high - low)
+        low = high
 
 
 def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -198,11 +199,12 @@ def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            for low, high in _slices(texts, BLOCK_CHARS):
-                values, counts = encoder.encode(texts[low:high])
+            low = 0
+            for texts in _slices(batch.column(text_col), BLOCK_BYTES):
+                values, counts = encoder.encode(texts.to_pylist())
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(values, pa.int32()))
-                own = batch.slice(low, high - low)
+                own = batch.slice(low, len(texts))
+                low += len(texts)
                 yield pa.RecordBatch.from_arrays([*own.columns, ids], [*own.schema.names, ids_col])
 
     return base.mapInArrow(run, schema)
