@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination
+from . import bpe, decontamination, toxicity
 
 
 def vocabulary_path() -> str:
@@ -30,6 +30,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -66,6 +74,7 @@ FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES = {
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
