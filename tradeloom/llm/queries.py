@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, toxicity
+from . import bpe, decontamination, neighbours, toxicity
 
 
 def vocabulary_path() -> str:
@@ -38,6 +38,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = neighbours.build(neighbours.usable(table(spark, sf_dir, "embeddings")))
+    return neighbours.search(index, index.where(F.col("vec_id") % 100 == 0))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -75,6 +80,7 @@ FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op8_neighbours": op8_neighbours,
     "op10_decontamination": op10_decontamination,
 }
 
