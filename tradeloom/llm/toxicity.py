@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .textcols import ALNUM, Block, Hasher, blocks, mix
 
 BUCKETS = 1 << 17
-LABELLED_ROWS = 8000
+LABELLED_ROWS = 6000
 SIZES = (3, 4, 5)
 DIMENSIONS = 8
 EPOCHS = 10
@@ -131,7 +131,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 6) -> Model:
     used = texts >= MIN_TEXTS
     inputs = []
     for _, buckets, counts in rows:
-        value = counts * weight[buckets]
+        value = counts * weight[buckets]  # buckets stay 32-bit, as they came
         value = value / max(value.sum(), 1e-9)
         inputs.append((buckets[used[buckets]], value[used[buckets]].astype(np.float32)))
     rng = np.random.default_rng(seed)
@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
     rows = texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>").toArrow()
     columns = [rows.column(c).to_pylist() if c == "toxic" else rows.column(c).combine_chunks() for c in ("toxic", "buckets", "counts")]
-    return fit([(int(t == 1), b.values.to_numpy().astype(np.int64), c.values.to_numpy()) for t, b, c in zip(columns[0], columns[1], columns[2], strict=True)])
+    return fit([(int(t == 1), b.values.to_numpy(), c.values.to_numpy()) for t, b, c in zip(columns[0], columns[1], columns[2], strict=True)])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
