@@ -26,6 +26,7 @@ PIVOTS = 256
 PREFIX = 128
 RERANK = 0.25
 SHARD_ROWS = 20_000
+LEAST_SHARD_ROWS = 500
 BLOCK_QUERIES = 2_000
 
 
@@ -127,7 +128,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PIVO
     """
     rows, asked = index.count(), queries.count()
     parallel = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards, parts = max(2 * parallel, -(-rows // SHARD_ROWS)), max(1, -(-asked // BLOCK_QUERIES))
+    # Each query returns k rows from every shard, so there are no more shards than work for the cores needs.
+    shards = max(1, -(-rows // SHARD_ROWS), min(parallel, -(-rows // LEAST_SHARD_ROWS)))
+    parts = max(1, -(-asked // BLOCK_QUERIES))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = index.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")).withColumn("block", numbers(parts))
     asking = queries.select("*", F.pmod(F.xxhash64("vec_id", F.lit("q")), F.lit(parts)).cast("int").alias("block")).withColumn("shard", numbers(shards))
