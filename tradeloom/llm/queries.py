@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, neighbours, toxicity
+from . import bpe, decontamination, neighbours, secrets, toxicity
+from .spans import joined
 
 
 def vocabulary_path() -> str:
@@ -19,6 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.train(secrets.labelled_samples(docs))
+    found = secrets.find_secrets(docs, model)
+    base = F.filter("secrets", lambda x: x["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs, vocabulary_path()).drop("text"), vocabulary_path())
@@ -78,6 +92,7 @@ FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op8_neighbours": op8_neighbours,
