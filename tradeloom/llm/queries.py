@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, neighbours, secrets, toxicity
+from . import bpe, decontamination, neighbours, pii, secrets, toxicity
 from .spans import joined
 
 
@@ -52,6 +52,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("personal", lambda x: x["kind"].isin(*pii.KINDS))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("personal")).alias("spans"),
+    )
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = neighbours.build(neighbours.usable(table(spark, sf_dir, "embeddings")))
     return neighbours.search(index, index.where(F.col("vec_id") % 100 == 0))
@@ -95,6 +106,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_personal_data": op7_personal_data,
     "op8_neighbours": op8_neighbours,
     "op10_decontamination": op10_decontamination,
 }

@@ -29,7 +29,7 @@ def matches(text: Column, pattern: str, keep: Callable[[Column, Column], Column]
         start = seen["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["whole"]), F.lit(0))
         one = F.array(F.struct(start.alias("start"), end.alias("end"), x["part"].alias("text")))
-        kept = F.coalesce(keep(x["whole"], x["part"]), F.lit(False))
+        kept = F.coalesce(x["whole"].isNotNull() & keep(x["whole"], x["part"]), F.lit(False))
         return F.struct(end.alias("at"), F.when(kept, F.concat(seen["found"], one)).otherwise(seen["found"]).alias("found"))
 
     none = F.array().cast(FOUND)
