@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, neighbours, pii, secrets, toxicity
+from . import bpe, decontamination, neighbours, pii, secrets, substrings, toxicity
 from .spans import joined
 
 
@@ -20,6 +20,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS i FROM w WHERE len(words) >= 13)),
+firsts AS (SELECT win, min(doc_id) AS first_doc FROM win GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS p FROM win JOIN firsts USING (win) WHERE first_doc < doc_id),
+each AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM each WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = each.doc_id AND gone.p = each.p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
@@ -103,6 +125,7 @@ FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 QUERIES = {
+    "op1_substrings": op1_substrings,
     "op3_secrets": op3_secrets,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
@@ -112,5 +135,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_substrings": OP1_SQL,
     "op10_decontamination": OP10_SQL,
 }
