@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, neighbours, pii, secrets, substrings, toxicity
+from . import bpe, decontamination, jaccard, neighbours, pii, secrets, substrings, toxicity
 from .spans import joined
 
 
@@ -90,6 +90,28 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(index, index.where(F.col("vec_id") % 100 == 0))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 2, 1))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  WHERE 10 * na.n >= 9 * nb.n AND 10 * nb.n >= 9 * na.n
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y),
+c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -131,10 +153,12 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
     "op8_neighbours": op8_neighbours,
+    "op9_jaccard": op9_jaccard,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLE = {
     "op1_substrings": OP1_SQL,
+    "op9_jaccard": OP9_SQL,
     "op10_decontamination": OP10_SQL,
 }
