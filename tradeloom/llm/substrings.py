@@ -3,7 +3,7 @@
 Every window of ``k`` words is an edge between the (k-1)-mers at its ends. Only windows whose anchor (the
 least hash of an inner gram of ``GRAM`` words; equal windows have equal anchors) is in two documents or
 more can repeat, and only they become edges. A table of edges holds for each the first and last
-document and the edges before and after it; the occurrences join it. Where each occurrence of an edge
+document and the edges before and after it, joined to its occurrences. Where each occurrence of an edge
 is followed by the same edge, which always follows it, the path does not branch, and the two compact.
 So every document gets its repeated spans, each a path with one first document, and the words of spans
 whose first document is a smaller id go.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ from .textcols import NOT_SPACE, Block, Hasher, Words, blocks, covered
 
 K = 13
 GRAM = 8
+PASSES = 2
 HASHER, CHECKER = Hasher(1), Hasher(101)
 SPAN = "struct<start:int,words:int,first_doc:long>"
 ADDED = f"n_words long, n_removed long, spans array<{SPAN}>, kept string"
@@ -81,13 +82,13 @@ class _Edges:
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Short hashes of the edges before and after each edge; 0 is none."""
-        short = (self.hash >> np.uint64(34)).astype(np.int64).astype(np.int32) + 1
+        short = (self.hash >> np.uint64(34)).astype(np.int32) + 1
         before, after = np.zeros(len(self.at), np.int32), np.zeros(len(self.at), np.int32)
         before[1:][self.follows], after[:-1][self.follows] = short[:-1][self.follows], short[1:][self.follows]
         return before, after
 
 
-def _find_edges(k: int, gram: int, id_col: str, text_col: str):
+def _find_edges(k: int, gram: int, id_col: str, text_col: str, part: int = 0, parts_of: int = 1):
     def run(key: tuple, table: pa.Table, repeated: pa.Table) -> pa.Table:
         ids, known = ids_of(table, id_col)
         anchors = np.sort(unsigned(repeated.column("anchor")))
@@ -95,7 +96,8 @@ def _find_edges(k: int, gram: int, id_col: str, text_col: str):
         for block in blocks(table.column(text_col)):
             edges = _Edges(block, k, gram, anchors, known)
             before, after = edges.links()
-            parts.append((edges.hash, edges.check, ids[edges.rows + block.first], before, after))
+            use = edges.hash % np.uint64(parts_of) == part
+            parts.append(tuple(x[use] for x in (edges.hash, edges.check, ids[edges.rows + block.first], before, after)))
         hashes, check, docs, before, after = ((np.concatenate([p[i] for p in parts]) if parts else np.empty(0, t)) for i, t in enumerate((np.uint64, np.int32, np.int64, np.int32, np.int32)))
         # One row for each edge of the chunk. (Two checks under one hash keep apart as two rows.)
         order = np.lexsort((check, hashes))
@@ -103,29 +105,35 @@ def _find_edges(k: int, gram: int, id_col: str, text_col: str):
         number = np.cumsum(np.r_[False, (hashes[1:] != hashes[:-1]) | (check[1:] != check[:-1])]) if len(hashes) else np.empty(0, np.int64)
         distinct, low, high, before_low, before_high, after_low, after_high = extremes(number, docs[order], before[order], after[order])
         first = np.searchsorted(number, distinct)
-        columns = [signed(hashes[first]), pa.array(check[first]), pa.array(low), pa.array(high), pa.array(before_low), pa.array(before_high), pa.array(after_low), pa.array(after_high)]
-        return pa.table([*columns, pa.array(np.full(len(low), key[0].as_py()), pa.int32())], ["edge", "check", "low", "high", "before_low", "before_high", "after_low", "after_high", "_chunk"])
+        # Few and narrow columns: this is the largest shuffle.
+        before, after = (np.where(x == y, x, BRANCHES).astype(np.int64) for x, y in ((before_low, before_high), (after_low, after_high)))
+        chunk = np.full(len(low), key[0].as_py(), np.int32)
+        return pa.table([signed(hashes[first]), pa.array(check[first]), pa.array(before << 32 | after & 0xFFFFFFFF), pa.array(low), pa.array(high - low), pa.array(chunk)], ["edge", "check", "links", "low", "more", "_chunk"])
 
     return run
 
 
-EDGES = "edge long, check int, low long, high long, before_low int, before_high int, after_low int, after_high int, _chunk int"
+EDGES = "edge long, check int, links long, low long, more long, _chunk int"
+#: Links are 1 to SHORT; in place of one, 0 says that no edge stands there, and BRANCHES that several do.
+SHORT, BRANCHES = 1 << 30, -1
 
 
 def _compact(edges: DataFrame) -> DataFrame:
-    """(_chunk, edge, check, first_doc, enters, leaves): the repeated edges, joined by the chunks that have them.
+    """(_chunk, edge, check, first_doc, enters, leaves): the repeated edges, with the chunks that have them.
 
     ``enters`` says that the same edge stands before each occurrence, ``leaves`` that the same stands after.
+    One exchange brings an edge's rows together (one for each chunk at most) and joins them to what they have
+    in common.
     """
-    # One exchange serves both sides; an edge has a row for each chunk at most.
-    dealt = edges.repartition("edge", "check")
-    nodes = dealt.groupBy("edge", "check").agg(
-        F.min("low").alias("first_doc"), F.max("high").alias("last_doc"),
-        ((F.min("before_low") == F.max("before_high")) & (F.min("before_low") != 0)).alias("enters"),
-        ((F.min("after_low") == F.max("after_high")) & (F.min("after_low") != 0)).alias("leaves"),
-    ).where(F.col("first_doc") < F.col("last_doc"))
+    edge = Window.partitionBy("edge", "check")
+    before, after = F.shiftright("links", 32), F.col("links").bitwiseAND(F.lit(0xFFFFFFFF))
+    alike = lambda link: F.min(link).over(edge).between(1, SHORT) & (F.min(link).over(edge) == F.max(link).over(edge))
+    nodes = edges.withColumns({
+        "first_doc": F.min("low").over(edge), "last_doc": F.max(F.col("low") + F.col("more")).over(edge),
+        "enters": alike(before), "leaves": alike(after),
+    })
     # A chunk whose documents are all the first one keeps everything.
-    return dealt.select("edge", "check", "high", "_chunk").join(nodes, ["edge", "check"]).where(F.col("high") > F.col("first_doc")).select("_chunk", "edge", "check", "first_doc", "enters", "leaves")
+    return nodes.where((F.col("first_doc") < F.col("last_doc")) & (F.col("low") + F.col("more") > F.col("first_doc"))).select("_chunk", "edge", "check", "first_doc", "enters", "leaves")
 
 
 def _find_spans(k: int, gram: int, id_col: str, text_col: str, columns: list[str]):
@@ -190,8 +198,10 @@ def remove_repeats(docs: DataFrame, k: int = K, gram: int = GRAM, id_col: str =
         everywhere = anchors.withColumns({"first": F.expr("min(low) OVER (PARTITION BY anchor)"), "last": F.expr("max(high) OVER (PARTITION BY anchor)")})
         everywhere.where("first < last").select("_chunk", "anchor").write.parquet(f"{path}/anchors")
         repeated = spark.read.parquet(f"{path}/anchors")
-        edges = slim.groupBy("_chunk").cogroup(repeated.groupBy("_chunk")).applyInArrow(_find_edges(k, gram, id_col, text_col), EDGES)
-        _compact(edges).write.parquet(f"{path}/edges")
+        for part in range(PASSES):
+            # The edges of a part of the hashes at a time, to halve what lies on disk at once.
+            edges = slim.groupBy("_chunk").cogroup(repeated.groupBy("_chunk")).applyInArrow(_find_edges(k, gram, id_col, text_col, part, PASSES), EDGES)
+            _compact(edges).write.mode("append").parquet(f"{path}/edges")
     compacted = spark.read.parquet(f"{path}/edges")
     schema = T.StructType([*base.schema.fields, *T.StructType.fromDDL(ADDED).fields])
     return dealt.groupBy("_chunk").cogroup(compacted.groupBy("_chunk")).applyInArrow(_find_spans(k, gram, id_col, text_col, base.columns), schema)
