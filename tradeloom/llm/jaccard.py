@@ -3,15 +3,16 @@
 Two documents link when ``100 * |A & B| >= PERCENT * |A | B|`` of their sets of ``SHINGLE``-word windows.
 Documents of equal sets are one node. Sizes are cut into bands, so that linked sets lie in one band or in
 neighbours, which bounds the number k of features in which they can differ. For a band, hashes deal the
-features to k // 2 + 1 + ``SPARE`` groups of three parts. Linked sets differ in at most one feature in more
-than ``SPARE`` of the groups, and there agree on two of the three parts: so each group gives three
-signatures, one for each pair of parts. A set that has more than ``SPARE`` groups with an empty pair of
-parts signs the empty ones as well; any other shares a signature that is not empty. No link is lost.
+features to k // 2 + 1 groups and a spare one, of three parts each. Linked sets differ in at most one
+feature in two or more of the groups, and there agree on two of the three parts: so each group gives three
+signatures, one for each pair of parts. A set that has more empty pairs than one group's signs the empty
+ones as well; any other shares a signature that is not empty. (k = 1 needs no spare group; k = 0 needs no
+signature, as equal sets are one node.) No link is lost.
 
 Sets that share a signature are compared in full, but not all with all: first with one leader of each
 signature, the set with the most company. What is then in one component needs no further comparison;
-signatures that still span several are gone through again, ``LEADERS`` leaders at a time, until every
-pair in them has been compared or joined. Work in each round is in proportion to the members.
+signatures that still span several are gone through again, with ``LEADERS`` and then ever more leaders
+at a time, until every pair in them has been compared or joined.
 
 Shuffles go by id, set, or signature. Joins on signatures and leaders, which can be hot, have an exchange
 on either side. Rounds write their results in the shared folder. Null ids link with nothing and are their
@@ -36,7 +37,7 @@ from .textcols import NOT_SPACE, Block, Hasher, blocks, mix
 SHINGLE = 3
 PERCENT = 90
 SPARE = 1
-LEADERS = 16
+LEADERS = 64
 HASHER = Hasher(9)
 U64 = np.uint64
 
@@ -92,7 +93,9 @@ class Bands:
         high = np.array([*self.low[1:], 2 * self.low[-1]]) - 1
         #: Of sets up to this size, linked ones differ in at most so many features.
         differ = 2 * high * (100 - percent) // (100 + percent)
-        self.groups = differ // 2 + 1 + SPARE
+        # Sets that may not differ are one node already. Where one feature may, one group has it.
+        self.spare = np.where(differ > 1, SPARE, 0)
+        self.groups = np.where(differ > 0, differ // 2 + 1 + self.spare, 0)
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, sizes, "right") - 1
@@ -110,17 +113,17 @@ def _signatures(row: np.ndarray, feature: np.ndarray, rows: int, percent: int) -
         groups = np.where(sizes > 0, bands.groups[level], 0)
         begin = np.cumsum(groups) - groups
         scattered = mix(feature ^ mix(level[row].astype(np.uint64) + U64(77)))
-        part = (scattered % (3 * groups[row]).astype(np.uint64)).astype(np.int64)
-        slot = 3 * begin[row] + part
+        signing = groups[row] > 0
+        slot = 3 * begin[row[signing]] + (scattered[signing] % (3 * groups[row[signing]]).astype(np.uint64)).astype(np.int64)
         total = 3 * int(groups.sum())
-        value = mix(feature + U64(0x9E3779B97F4A7C15))
+        value = mix(feature[signing] + U64(0x9E3779B97F4A7C15))
         halves = [np.bincount(slot, (value >> U64(s) & U64(0xFFFFFFFF)).astype(float), total) for s in (0, 32)]
         count = np.bincount(slot, minlength=total)
         owner = np.repeat(np.arange(rows), groups)
         # A pair of parts is what its group holds without the third part.
         low, high, left = (x.reshape(-1, 3).sum(1)[:, None] - x.reshape(-1, 3) for x in (*halves, count))
         empty = (left == 0).any(1)
-        exposed = np.bincount(owner, empty, rows) > SPARE
+        exposed = np.bincount(owner, empty, rows) > bands.spare[level]
         number = np.arange(len(owner)) - begin[owner]
         place = (level[owner] * 1_000_003 + number)[:, None] * 3 + np.arange(3)
         sign = mix(mix(low.astype(np.uint64)) + mix(high.astype(np.uint64) + U64(1)) * U64(3) + mix(place.astype(np.uint64)))
@@ -179,7 +182,7 @@ def components(spark: SparkSession, edges: DataFrame, path: str) -> DataFrame:
     A star's least id is found by an aggregation and joined back, so a centre with very many neighbours
     is pre-aggregated and its join can be split.
     """
-    current, rounds, before = edges, 0, None
+    current, rounds = edges, 0
     while True:
         pairs = current.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -190,10 +193,11 @@ def components(spark: SparkSession, edges: DataFrame, path: str) -> DataFrame:
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(least.select("a", F.col("least").alias("b")))
         small.where("a <> b").distinct().write.parquet(f"{path}/stars-{rounds}")
         current = spark.read.parquet(f"{path}/stars-{rounds}")
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        # Done when these are stars: who has a centre has one, and is none.
+        centres = current.select(F.col("b").alias("a")).distinct()
+        if current.select("a").unionByName(centres).groupBy("a").count().where("count > 1").isEmpty():
             return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        before, rounds = state, rounds + 1
+        rounds += 1
 
 
 def _labels(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -246,9 +250,10 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
         pairs = stored(pairs, f"pairs-{turn}")
         found = stored(_linked(pairs, features, percent), f"links-{turn}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = links.unionByName(found)
-        parts = components(spark, links, f"{path}/components-{turn}")
-        low, leaders, turn = low + leaders, LEADERS, turn + 1
+        if parts is None or not found.isEmpty():
+            links = links.unionByName(found)
+            parts = components(spark, links, f"{path}/components-{turn}")
+        low, leaders, turn = low + leaders, LEADERS * 2**turn, turn + 1
         # Signatures that span several components and have pairs not compared yet.
         over = _labels(ranked, parts).withColumns({"least": F.expr("min(component) OVER (PARTITION BY sign)"), "most": F.expr("max(component) OVER (PARTITION BY sign)"), "last": F.expr("max(rank) OVER (PARTITION BY sign)")})
         current = stored(over.where((F.col("least") < F.col("most")) & (F.col("last") > low + 1)).select("sign", "id", "size", "rank", "component"), f"open-{turn}")
