@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, jaccard, neighbours, pii, secrets, substrings, toxicity
+from . import bpe, decontamination, jaccard, lm_scores, neighbours, pii, secrets, substrings, toxicity
 from .spans import joined
 
 
@@ -42,6 +42,39 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_scores.score(docs)
+    return scored.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 5).alias("mean_log_score"))
+
+
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, i, words[i] AS a, CASE WHEN i > 1 THEN words[i - 1] END AS b, CASE WHEN i > 2 THEN words[i - 2] END AS c
+      FROM (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM w)),
+n1 AS (SELECT a, count(*) AS n FROM p GROUP BY ALL), d1 AS (SELECT doc_id, a, count(*) AS n FROM p GROUP BY ALL),
+n2 AS (SELECT b, a, count(*) AS n FROM p WHERE b IS NOT NULL GROUP BY ALL), d2 AS (SELECT doc_id, b, a, count(*) AS n FROM p WHERE b IS NOT NULL GROUP BY ALL),
+n3 AS (SELECT c, b, a, count(*) AS n FROM p WHERE c IS NOT NULL GROUP BY ALL), d3 AS (SELECT doc_id, c, b, a, count(*) AS n FROM p WHERE c IS NOT NULL GROUP BY ALL),
+e1 AS (SELECT doc_id, a, n1.n - d1.n AS n FROM d1 JOIN n1 USING (a)),
+e2 AS (SELECT doc_id, b, a, n2.n - d2.n AS n FROM d2 JOIN n2 USING (b, a)),
+e3 AS (SELECT doc_id, c, b, a, n3.n - d3.n AS n FROM d3 JOIN n3 USING (c, b, a)),
+r AS (SELECT doc_id, (SELECT count(*) FROM p) - len(words) AS rest FROM w),
+x AS (
+  SELECT p.doc_id, p.i, e1.n AS x1, e1b.n AS y1, e2.n AS x2, e2b.n AS y2, e3.n AS x3, r.rest
+  FROM p JOIN r USING (doc_id) JOIN e1 ON e1.doc_id = p.doc_id AND e1.a = p.a
+  LEFT JOIN e1 e1b ON e1b.doc_id = p.doc_id AND e1b.a = p.b
+  LEFT JOIN e2 ON e2.doc_id = p.doc_id AND e2.b = p.b AND e2.a = p.a
+  LEFT JOIN e2 e2b ON e2b.doc_id = p.doc_id AND e2b.b = p.c AND e2b.a = p.b
+  LEFT JOIN e3 ON e3.doc_id = p.doc_id AND e3.c = p.c AND e3.b = p.b AND e3.a = p.a),
+s1 AS (SELECT *, CASE WHEN x1 > 0 THEN ln(x1 / rest) ELSE ln(0.4) - ln(rest + 1) END AS l1 FROM x),
+s2 AS (SELECT *, CASE WHEN x2 IS NULL THEN l1 WHEN x2 > 0 THEN ln(x2 / y1) ELSE ln(0.4) + l1 END AS l2 FROM s1),
+s3 AS (SELECT *, CASE WHEN x3 IS NULL THEN l2 WHEN x3 > 0 THEN ln(x3 / y2) ELSE ln(0.4) + l2 END AS l3 FROM s2),
+t AS (SELECT doc_id, sum(l3) AS s, count(*) AS n FROM s3 GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, round(coalesce(s, 0), 3) AS log_score, round(s / n, 5) AS mean_log_score FROM w LEFT JOIN t USING (doc_id)
+"""
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
@@ -148,6 +181,7 @@ FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES = {
     "op1_substrings": op1_substrings,
+    "op2_lm_scores": op2_lm_scores,
     "op3_secrets": op3_secrets,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
@@ -159,6 +193,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_substrings": OP1_SQL,
+    "op2_lm_scores": OP2_SQL,
     "op9_jaccard": OP9_SQL,
     "op10_decontamination": OP10_SQL,
 }
