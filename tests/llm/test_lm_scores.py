@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tradeloom.llm import lm_scores
+from tradeloom.llm import lm_scores, packing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -56,4 +56,4 @@ def test_little_to_count(spark, texts):
 
 def test_planes():
     values = np.array([0, 1, 255, 256, 2**40], np.uint64)
-    assert lm_scores.unplanes(lm_scores.planes(values), np.uint64).tolist() == values.tolist()
+    assert packing.unplanes(packing.planes(values), np.uint64).tolist() == values.tolist()

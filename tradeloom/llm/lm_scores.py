@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tradeloom.session import work_dir
 
 from .chunks import chunked, short_lived_shuffles
+from .packing import edges, planes, unplanes
 from .textcols import NOT_SPACE, Block, Hasher, blocks
 
 ALPHA = 0.4
@@ -36,16 +37,6 @@ SAID = "_range int, _chunk int, keys binary, counts binary, words long"
 TOLD = "_chunk int, _range int, totals binary, words long"
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte, the low bytes of all first: what is zero throughout lies together and packs well."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-
-
-def unplanes(data: bytes, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
-
-
 class _Ngrams:
     """Words, pairs and triples of a block by hash, with the rows they are in."""
 
@@ -61,7 +52,7 @@ class _Ngrams:
 def _say(chunk: int, ranges: int, keys: list[np.ndarray], words: int = 0) -> pa.Table:
     """The distinct hashes of a chunk with their counts, a row for each range of hashes; the first has its words."""
     found, counts = np.unique(np.concatenate(keys) if keys else np.empty(0, np.uint64), return_counts=True)
-    edge = _edges(found, ranges)
+    edge = edges(found, ranges)
     out: dict[str, list] = {"_range": [], "_chunk": [], "keys": [], "counts": []}
     for i in range(ranges):
         low, high = edge[i], edge[i + 1]
@@ -74,12 +65,6 @@ def _say(chunk: int, ranges: int, keys: list[np.ndarray], words: int = 0) -> pa.
     return pa.table([pa.array(out["_range"], pa.int32()), pa.array(out["_chunk"], pa.int32()), pa.array(out["keys"], pa.binary()), pa.array(out["counts"], pa.binary()), pa.array(out["words"], pa.int64())], ["_range", "_chunk", "keys", "counts", "words"])
 
 
-def _edges(found: np.ndarray, ranges: int) -> np.ndarray:
-    """Where each of ``ranges`` equal ranges of 64-bit hashes begins in sorted hashes, and the end."""
-    limits = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
-    return np.r_[0, np.searchsorted(found, limits), len(found)]
-
-
 def _sum(key: tuple, table: pa.Table) -> pa.Table:
     """The totals of one range of hashes, for each chunk in the order of its own hashes."""
     parts = [np.cumsum(unplanes(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("keys")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, jaccard, lm_scores, neighbours, pii, secrets, substrings, toxicity
+from . import bpe, decontamination, jaccard, lm_scores, neighbours, pii, secrets, substrings, suffixes, toxicity
 from .spans import joined
 
 
@@ -88,6 +88,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs, vocabulary_path()).drop("text"), vocabulary_path())
@@ -183,6 +188,7 @@ QUERIES = {
     "op1_substrings": op1_substrings,
     "op2_lm_scores": op2_lm_scores,
     "op3_secrets": op3_secrets,
+    "op4_suffixes": op4_suffixes,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
