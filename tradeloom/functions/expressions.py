@@ -8,32 +8,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
-# Money is summed exactly, in whole ten-thousandths, so totals do not depend on task order as
-# sums of doubles do. Each amount is split into a high and a low part and both are summed as
-# BIGINT: primitive arithmetic (decimal sums take twice as long), and no overflow below 2**43
-# rows. An overflow would raise, not wrap.
+# Amounts of up to four decimals are summed exactly, in whole ten-thousandths, so totals do not depend
+# on task order as sums of doubles do. Each is split into a high and a low part and both are summed as
+# BIGINT: primitive arithmetic (decimal sums take twice as long), and no overflow below 2**43 rows. An
+# overflow would raise, not wrap. What the ten-thousandths leave over (more decimals, amounts too large
+# for them, infinity, NaN) is summed as DOUBLE beside them; a difference of the size of a double's own
+# rounding is none.
 MONEY_SCALE = 10_000
 LOW_BITS = 20
+LARGEST_MONEY = 9e11
+ROUNDING = 1e-15
 
+PARTS = ("hi", "lo", "rest")
 
-def money_sums(amount: Column, name: str) -> list[Column]:
-    """The two exact partial sums of an amount, to be read back by ``money_total``."""
-    ticks = F.rint(amount * MONEY_SCALE).cast("bigint")
-    return [
-        F.sum(F.shiftright(ticks, LOW_BITS)).alias(f"{name}_hi"),
-        F.sum(ticks.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).alias(f"{name}_lo"),
-    ]
+
+def money_parts(amount: str) -> dict[str, str]:
+    """SQL of the three parts of an amount: high and low ten-thousandths, and the rest."""
+    fits = f"abs({amount}) < {LARGEST_MONEY!r}D"
+    whole = f"rint({amount} * {MONEY_SCALE})"
+    ticks = f"CASE WHEN {fits} THEN CAST({whole} AS BIGINT) WHEN {amount} IS NOT NULL THEN 0L END"
+    over = f"({amount} - {whole} / {MONEY_SCALE}.0D)"
+    close = f"abs({over}) <= abs({amount}) * {ROUNDING!r}D"
+    return {
+        "hi": f"shiftright({ticks}, {LOW_BITS})",
+        "lo": f"({ticks}) & {(1 << LOW_BITS) - 1}",
+        "rest": f"CASE WHEN {fits} THEN CASE WHEN {close} THEN 0.0D ELSE {over} END ELSE CAST({amount} AS DOUBLE) END",
+    }
+
+
+def money_sums(amount: str, name: str) -> list[Column]:
+    """The partial sums of an amount (SQL text), to be read back by ``money_total``."""
+    return [F.expr(f"sum({sql})").alias(f"{name}_{part}") for part, sql in money_parts(amount).items()]
 
 
 def money_resums(name: str, weight: str) -> list[Column]:
     """Sums of earlier sums, each counted ``weight`` times."""
-    return [F.sum(F.col(part) * F.col(weight)).alias(part) for part in (f"{name}_hi", f"{name}_lo")]
+    return [F.sum(F.col(f"{name}_{part}") * F.col(weight)).alias(f"{name}_{part}") for part in PARTS]
 
 
 def money_total(name: str, pick: Callable[[Column], Column] = lambda c: c) -> Column:
     """The total as DOUBLE, NULL when nothing was summed."""
-    high, low = pick(F.col(f"{name}_hi")).cast("double"), pick(F.col(f"{name}_lo")).cast("double")
-    return (high * float(1 << LOW_BITS) + low) / F.lit(float(MONEY_SCALE))
+    high, low, rest = (pick(F.col(f"{name}_{part}")).cast("double") for part in PARTS)
+    return (high * float(1 << LOW_BITS) + low) / F.lit(float(MONEY_SCALE)) + rest
 
 
 def ratio(total: Column, count: Column) -> Column:

@@ -41,9 +41,10 @@ def review_measures() -> list[Column]:
 
 def item_sums() -> list[Column]:
     """Exact sums of price, freight and both; NULL when no line has a value."""
-    price, freight = F.col("price"), F.col("freight_value")
     return [
-        *money_sums(price, "price"), *money_sums(freight, "freight"), *money_sums(price + freight, "value"),
+        *money_sums("price", "price"),
+        *money_sums("freight_value", "freight"),
+        *money_sums("(price + freight_value)", "value"),
     ]
 
 
@@ -68,6 +69,16 @@ def with_review_weights(lines: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+def reviewed_lines(items: DataFrame, reviews: DataFrame, *keys: str) -> DataFrame:
+    """Item sums per order and ``keys``, with the review weights of the order.
+
+    The reviews join the raw items, so one exchange on the order serves the join and the grouping.
+    """
+    joined = with_review_weights(items.select("order_id", *keys, "price", "freight_value"), reviews)
+    weights = [F.max(name).alias(name) for name in ("copies", "scored", "score_total")]
+    return joined.groupBy("order_id", *keys).agg(*item_measures(), *weights)
+
+
 def weighted_sums() -> list[Column]:
     """Sums over the plain join: prices once per review of the order, scores once per line."""
     return [

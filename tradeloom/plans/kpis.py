@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import LOW_BITS, MONEY_SCALE, money_sums
+from ..functions.expressions import LOW_BITS, MONEY_SCALE, money_parts, money_sums
 from ..session import small_frame
 
 Tables = Mapping[str, DataFrame]
@@ -42,15 +42,16 @@ LABELS: dict[str, tuple[str, str]] = {
 }
 
 
-def _total(high: str, low: str) -> str:
-    """The total of two partial money sums (see functions.expressions), in whole ticks."""
-    return f"(CAST({high} AS DECIMAL(28,0)) * {1 << LOW_BITS} + CAST({low} AS DECIMAL(28,0)))"
+def _total(high: str, low: str, rest: str) -> str:
+    """The total of partial money sums (see functions.expressions) in ticks; NULL if no decimal can hold it."""
+    whole = f"CAST({high} AS DECIMAL(28,0)) * {1 << LOW_BITS} + CAST({low} AS DECIMAL(28,0))"
+    return f"({whole} + try_cast({rest} * {MONEY_SCALE} AS DECIMAL(38,6)))"
 
 
 def _ticks(column: str) -> str:
     """The exact sum of a money column, in ticks."""
-    amount = f"CAST(rint({column} * {MONEY_SCALE}) AS BIGINT)"
-    return _total(f"sum(shiftright({amount}, {LOW_BITS}))", f"sum({amount} & {(1 << LOW_BITS) - 1})")
+    parts = money_parts(column)
+    return _total(*(f"sum({parts[p]})" for p in ("hi", "lo", "rest")))
 
 
 def _rounded(total: str, count: str, scale: int = 1) -> str:
@@ -137,8 +138,8 @@ def product_pack(t: Tables) -> DataFrame:
 
 def payment_pack(t: Tables) -> DataFrame:
     """Revenue, and the mean of the per-order totals."""
-    orders = t["order_payments"].groupBy("order_id").agg(*money_sums(F.col("payment_value"), "paid"))
-    total = _total("sum(paid_hi)", "sum(paid_lo)")
+    orders = t["order_payments"].groupBy("order_id").agg(*money_sums("payment_value", "paid"))
+    total = _total("sum(paid_hi)", "sum(paid_lo)", "sum(paid_rest)")
     return orders.selectExpr(
         _rounded(total, "1", MONEY_SCALE) + " AS total_revenue",
         _rounded(total, "count(paid_hi)", MONEY_SCALE) + " AS avg_order_value",

@@ -30,7 +30,7 @@ from ..operators.rollups import (
     per_key,
     review_measures,
     weighted_sums,
-    with_review_weights,
+    reviewed_lines,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -73,10 +73,9 @@ def order_summary(t: Tables) -> DataFrame:
 
 def product_performance(t: Tables) -> DataFrame:
     """One row per product; unsold products stay with times_ordered 0 and NULL measures."""
-    lines = t["order_items"].groupBy("order_id", "product_id").agg(*item_measures())
-    # (order, product) is unique by now, so counting rows counts distinct orders.
+    # (order, product) is unique in these, so counting rows counts distinct orders.
     sold = (
-        with_review_weights(lines, t["order_reviews"])
+        reviewed_lines(t["order_items"], t["order_reviews"], "product_id")
         .groupBy("product_id")
         .agg(F.count("order_id").alias("times_ordered"), *weighted_sums())
     )
@@ -98,16 +97,14 @@ def product_performance(t: Tables) -> DataFrame:
 
 def seller_performance(t: Tables) -> DataFrame:
     """One row per seller; sellers without sales stay with zero counts and NULL measures."""
-    lines = t["order_items"].groupBy("order_id", "product_id", "seller_id").agg(*item_measures())
     sold = (
-        with_review_weights(lines, t["order_reviews"])
+        reviewed_lines(t["order_items"], t["order_reviews"], "seller_id")
         .groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("product_id").alias("unique_products_sold"),
-            *weighted_sums(),
-        )
+        .agg(F.count("order_id").alias("total_orders"), *weighted_sums())
     )
+    # Products are counted apart: two distinct counts in one grouping would triple its rows.
+    products = t["order_items"].select("seller_id", "product_id").distinct().groupBy("seller_id")
+    sold = sold.join(products.agg(F.count("product_id").alias("unique_products_sold")), "seller_id", "left")
     return (
         t["sellers"]
         .select("seller_id", "seller_city", "seller_state")
@@ -150,7 +147,7 @@ def customer_ltv(t: Tables) -> DataFrame:
     items = (
         t["order_items"]
         .groupBy("order_id")
-        .agg(F.count("*").alias("lines"), *money_sums(F.col("price") + F.col("freight_value"), "value"))
+        .agg(F.count("*").alias("lines"), *money_sums("(price + freight_value)", "value"))
     )
     orders = (
         t["orders"]
@@ -198,11 +195,10 @@ def category_performance(t: Tables) -> DataFrame:
         )
     )
     sales = t["order_items"].join(labels, "product_id")
-    lines = sales.groupBy("order_id", "category").agg(*item_measures())
     # (order, category) is unique here. A category may hold a third of the orders: only the
     # partial sums of each task meet in its group.
     measures = (
-        with_review_weights(lines, t["order_reviews"])
+        reviewed_lines(sales, t["order_reviews"], "category")
         .groupBy("category")
         .agg(F.count("order_id").alias("order_count"), *weighted_sums())
         .withColumn("total_revenue", money_total("price"))
@@ -232,7 +228,7 @@ def category_performance(t: Tables) -> DataFrame:
 def customer_lifetime_value(summary: DataFrame) -> DataFrame:
     """Orders and value per person over the order summary; no review weighting here."""
     sums = summary.groupBy("customer_unique_id").agg(
-        F.count("*").alias("total_orders"), *money_sums(F.col("total_order_value"), "value")
+        F.count("*").alias("total_orders"), *money_sums("total_order_value", "value")
     )
     return sums.select("customer_unique_id", "total_orders", money_total("value").alias("lifetime_value"))
 
@@ -293,8 +289,11 @@ def zip_coordinates(t: Tables) -> DataFrame:
     """One mean coordinate per zip prefix."""
 
     def mean(name: str) -> Column:
+        # Exact where ten decimals hold the coordinate, so that the mean does not depend on task order.
         fixed = F.col(name).cast("decimal(20,10)")
-        return ratio(F.sum(fixed), F.count(fixed))
+        rest = F.col(name) - fixed.cast("double")
+        rest = F.when(F.abs(rest) > F.abs(F.col(name)) * 1e-15, rest).otherwise(F.when(rest.isNotNull(), F.lit(0.0)))
+        return ratio(F.sum(fixed).cast("double") + F.sum(rest), F.count(fixed))
 
     return per_key(
         t["geolocation"],
@@ -326,8 +325,8 @@ def _first_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
 
 
 def _restrict(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    # ``keys`` holds at most the few rows of a preview, so the broadcast is bounded.
-    return df.join(F.broadcast(keys), key, "left_semi")
+    # Spark broadcasts the keys if they are as few as those of a preview.
+    return df.join(keys, key, "left_semi")
 
 
 # The refreshable datasets of the analytics layer and the views of the raw layer.

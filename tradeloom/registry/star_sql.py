@@ -3,7 +3,7 @@
 CTES = {
     "c_customers": """
         SELECT o_orderkey AS customer_id, o_custkey AS customer_unique_id,
-               lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
+               printf('%05d', o_custkey) AS customer_zip_code_prefix,
                c_mktsegment AS customer_city, n_name AS customer_state
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "c_orders": """
@@ -46,10 +46,10 @@ CTES = {
         SELECT s_suppkey AS seller_id, s_name AS seller_city, n_name AS seller_state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "c_geolocation": """
-        SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS zip, c_acctbal / 1000 AS lat, -c_acctbal / 500 AS lng
+        SELECT printf('%05d', c_custkey) AS zip, c_acctbal / 1000 AS lat, -c_acctbal / 500 AS lng
         FROM customer JOIN nation ON c_nationkey = n_nationkey
         UNION ALL
-        SELECT lpad(CAST(s_suppkey AS VARCHAR), 5, '0'), s_acctbal / 1000, -s_acctbal / 500
+        SELECT printf('%05d', s_suppkey), s_acctbal / 1000, -s_acctbal / 500
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 }
 

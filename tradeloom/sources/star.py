@@ -7,12 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Tables = dict[str, DataFrame]
 
 
+def _zip(key: str) -> Column:
+    """A key as a zip prefix of five digits or more; padded, never cut."""
+    return F.format_string("%05d", F.col(key))
+
+
 def _customers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     return (
         orders.select("o_orderkey", "o_custkey")
@@ -21,7 +26,7 @@ def _customers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> Dat
         .select(
             F.col("o_orderkey").alias("customer_id"),
             F.col("o_custkey").alias("customer_unique_id"),
-            F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("customer_zip_code_prefix"),
+            _zip("o_custkey").alias("customer_zip_code_prefix"),
             F.col("c_mktsegment").alias("customer_city"),
             F.col("n_name").alias("customer_state"),
         )
@@ -127,7 +132,7 @@ def _translation(part: DataFrame) -> DataFrame:
 def _sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("seller_id"),
-        F.lpad(F.col("s_suppkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
+        _zip("s_suppkey").alias("seller_zip_code_prefix"),
         F.col("s_name").alias("seller_city"),
         F.col("n_name").alias("seller_state"),
     )
@@ -138,7 +143,7 @@ def _geolocation(customer: DataFrame, supplier: DataFrame, nation: DataFrame) ->
 
     def points(df: DataFrame, key: str, nation_key: str, balance: str, city: str) -> DataFrame:
         return df.join(nation, F.col(nation_key) == F.col("n_nationkey")).select(
-            F.lpad(F.col(key).cast("string"), 5, "0").alias("geolocation_zip_code_prefix"),
+            _zip(key).alias("geolocation_zip_code_prefix"),
             (F.col(balance) / 1000).alias("geolocation_lat"),
             (-F.col(balance) / 500).alias("geolocation_lng"),
             F.col(city).alias("geolocation_city"),
