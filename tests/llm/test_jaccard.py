@@ -70,15 +70,20 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_like_comparing_all_pairs(spark, seed):
+@pytest.mark.parametrize("seed, many", [(1, 100), (2, 2)])
+def test_like_comparing_all_pairs(spark, monkeypatch, seed, many):
+    monkeypatch.setattr(jaccard, "MANY", many)
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
     rows = corpus(seed)
     docs = spark.createDataFrame([(i, t, 1, "y") for i, t in rows], "doc_id long, text string, size int, sign string").repartition(4)
     got = sorted((tuple(r) for r in jaccard.link(docs).collect()), key=str)
     assert got == brute(rows)
 
 
-def test_copies_that_only_link_to_their_base(spark):
+@pytest.mark.parametrize("many, block", [(100, 256), (3, 8)])
+def test_copies_that_only_link_to_their_base(spark, monkeypatch, many, block):
+    monkeypatch.setattr(jaccard, "MANY", many)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rng = random.Random(8)
     base = [f"b{i}" for i in range(200)]
     rows = [(50, " ".join(base))]

@@ -10,12 +10,13 @@ ones as well; any other shares a signature that is not empty. (k = 1 needs no sp
 signature, as equal sets are one node.) No link is lost.
 
 Sets that share a signature are compared in full, but not all with all: first with one leader of each
-signature, the set with the most company. What is then in one component needs no further comparison;
-signatures that still span several are gone through again, with ``LEADERS`` and then ever more leaders
-at a time, until every pair in them has been compared or joined.
+signature, the set with the most company. What is then in one component needs no further comparison. Of
+signatures that still span several, all pairs across components follow: as rows where a signature has up
+to ``MANY`` members, and else in blocks, where a task compares two blocks of members and returns no more
+links than members.
 
 Shuffles go by id, set, or signature. Joins on signatures and leaders, which can be hot, have an exchange
-on either side. Rounds write their results in the shared folder. Null ids link with nothing and are their
+on either side. Steps write their results in the shared folder. Null ids link with nothing and are their
 own class (null); null, empty and wordless texts have empty sets and link with nothing; rows that repeat
 an id are one document, which links if one of its texts does. Other columns are left out.
 """
@@ -37,7 +38,8 @@ from .textcols import NOT_SPACE, Block, Hasher, blocks, mix
 SHINGLE = 3
 PERCENT = 90
 SPARE = 1
-LEADERS = 64
+MANY = 100
+BLOCK = 256
 HASHER = Hasher(9)
 U64 = np.uint64
 
@@ -238,27 +240,81 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
     wanted = ranked.select(F.col("id").alias(id_col)).distinct()
     features = stored(_full_sets(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), size, id_col, text_col), "features")
 
-    links, tested, parts, low, leaders, turn = tied, None, None, 0, 1, 0
-    current = ranked.withColumn("component", F.col("id"))
-    while True:
-        leading = current.where((F.col("rank") > low) & (F.col("rank") <= low + leaders)).select("sign", F.col("id").alias("b"), F.col("size").alias("b_size"), F.col("rank").alias("b_rank"), F.col("component").alias("b_component"))
-        pairs = current.join(leading, "sign").where("rank > b_rank AND component <> b_component")
-        pairs = pairs.where(100 * F.least("size", "b_size") >= percent * F.greatest("size", "b_size"))
-        pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"pairs-{turn}")
-        found = stored(_linked(pairs, features, percent), f"links-{turn}")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if parts is None or not found.isEmpty():
-            links = links.unionByName(found)
-            parts = components(spark, links, f"{path}/components-{turn}")
-        low, leaders, turn = low + leaders, LEADERS * 2**turn, turn + 1
-        # Signatures that span several components and have pairs not compared yet.
-        over = _labels(ranked, parts).withColumns({"least": F.expr("min(component) OVER (PARTITION BY sign)"), "most": F.expr("max(component) OVER (PARTITION BY sign)"), "last": F.expr("max(rank) OVER (PARTITION BY sign)")})
-        current = stored(over.where((F.col("least") < F.col("most")) & (F.col("last") > low + 1)).select("sign", "id", "size", "rank", "component"), f"open-{turn}")
-        if current.isEmpty():
-            return parts
+    # First everyone with the leader of each of its signatures.
+    leading = ranked.where("rank = 1").select("sign", F.col("id").alias("b"), F.col("size").alias("b_size"))
+    pairs = stored(_pairs(ranked.where("rank > 1").join(leading, "sign"), percent), "leader-pairs")
+    links = tied.unionByName(stored(_linked(pairs, features, percent), "leader-links"))
+    parts = components(spark, links, f"{path}/components-1")
+    # Then what signatures that still span several components hold: all pairs in them across components.
+    spans = {"least": F.expr("min(component) OVER (PARTITION BY sign)"), "most": F.expr("max(component) OVER (PARTITION BY sign)"), "last": F.expr("max(rank) OVER (PARTITION BY sign)")}
+    left = _labels(ranked, parts).withColumns(spans).where("least < most AND last > 2")
+    left = stored(left.select("sign", "id", "size", "rank", "component", "last"), "open")
+    few = left.where(F.col("last") <= MANY)
+    others = few.select("sign", F.col("id").alias("b"), F.col("size").alias("b_size"), F.col("rank").alias("b_rank"), F.col("component").alias("b_component"))
+    across = few.join(others, "sign").where("rank > b_rank AND b_rank > 1 AND component <> b_component")
+    found = stored(_linked(stored(_pairs(across, percent).join(pairs, ["a", "b"], "left_anti"), "pairs"), features, percent), "links")
+    many = left.where(F.col("last") > MANY)
+    if not many.isEmpty():
+        found = found.unionByName(stored(_block_links(spark, many, features, f"{path}/crowds", percent), "crowd-links"))
+    return parts if found.isEmpty() else components(spark, links.unionByName(found), f"{path}/components-2")
+
+
+def _pairs(joined: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose sizes allow a link."""
+    fit = joined.where(100 * F.least("size", "b_size") >= percent * F.greatest("size", "b_size"))
+    return fit.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+
+
+def _block_links(spark: SparkSession, many: DataFrame, features: DataFrame, path: str, percent: int) -> DataFrame:
+    """Links among the members of crowded signatures, compared block by block.
+
+    Signatures with members in common are one crowd. Its members are dealt to blocks of about ``BLOCK``,
+    and a task compares two blocks; it returns links that connect what is connected, not all of them.
+    """
+    first = many.groupBy("sign").agg(F.min("id").alias("b"))
+    crowds = components(spark, many.join(first, "sign").select(F.col("id").alias("a"), "b"), path)
+    members = _labels(many.select("id").distinct(), crowds).withColumnRenamed("component", "crowd")
+    sizes = members.groupBy("crowd").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # A member goes to the pairs of its own block with each block of its crowd.
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("id", "crowd", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("features")]
+        counts = np.array([len(x) for x in sets])
+        every, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), counts)
+        shared = times[number] > 1
+        owner, column = owner[shared], (np.cumsum(times > 1) - 1)[number[shared]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            low, high = np.searchsorted(column, [start, start + 4096])
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[owner[low:high], column[low:high] - start] = 1
+            common += part @ part.T
+        close = 100 * common >= percent * (counts[:, None] + counts[None, :] - common)
+        if key[1] != key[2]:
+            close &= block[:, None] != block[None, :]
+        top = list(range(len(sets)))
+
+        def find(x: int) -> int:
+            while top[x] != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        out = []
+        for x, y in np.argwhere(np.triu(close, 1)).tolist():
+            p, q = find(x), find(y)
+            if p != q:
+                top[p] = q
+                out.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+        return pa.table([pa.array([int(x[i]) for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return dealt.join(features, "id").groupBy("crowd", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def keep_first(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
