@@ -19,9 +19,9 @@ CHUNKS_PER_PARTITION = 4
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def chunked(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def chunked(docs: DataFrame, id_col: str = "doc_id", per_partition: int = CHUNKS_PER_PARTITION) -> DataFrame:
     """With ``_chunk``; the number of chunks follows spark.sql.shuffle.partitions, which is set for the data's size."""
-    chunks = CHUNKS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = per_partition * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return docs.withColumn("_chunk", F.pmod(F.xxhash64(id_col), F.lit(chunks)).cast("int"))
 
 

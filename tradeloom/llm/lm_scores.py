@@ -32,6 +32,7 @@ from .packing import edges, planes, unplanes
 from .textcols import NOT_SPACE, Block, Hasher, blocks
 
 ALPHA = 0.4
+CHUNKS_PER_PARTITION = 2
 HASHER = Hasher(2)
 SAID = "_range int, _chunk int, keys binary, counts binary, words long"
 TOLD = "_chunk int, _range int, totals binary, words long"
@@ -43,7 +44,7 @@ class _Ngrams:
     def __init__(self, block: Block):
         words = block.words(NOT_SPACE, lower=True)
         hashes = words.hashes(HASHER)
-        self.rows = words.rows
+        self.first, self.rows = block.first, words.rows
         self.counts = np.diff(words.first)
         self.inside = {n: words.within(n) for n in (1, 2, 3)}
         self.hash = {n: HASHER.windows(hashes, n) for n in (1, 2, 3)}
@@ -94,29 +95,43 @@ def _grams(table: pa.Table, text_col: str) -> list[_Ngrams]:
 
 
 class _Elsewhere:
-    """Counts in other documents: the chunk's totals, without the row's own occurrences."""
+    """Counts in other documents of the n-grams of a chunk: its totals, without the row's own occurrences."""
 
-    def __init__(self, keys: list[np.ndarray], told: pa.Table):
-        self.known = np.unique(np.concatenate(keys) if keys else np.empty(0, np.uint64))
-        self.totals = _totals(told)
-        assert len(self.known) == len(self.totals)
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], told: pa.Table):
+        hashes, rows = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, t) for i, t in enumerate((np.uint64, np.int64)))
+        totals = _totals(told)
+        # The sort is stable and rows ascend, so those of a row lie together among equal hashes.
+        order = np.argsort(hashes, kind="stable")
+        hashes, rows = hashes[order], rows[order]
+        other = hashes[1:] != hashes[:-1]
+        key = np.cumsum(np.r_[np.zeros(min(1, len(hashes)), bool), other])
+        own = np.cumsum(np.r_[np.zeros(min(1, len(hashes)), bool), other | (rows[1:] != rows[:-1])])
+        assert len(totals) == (key[-1] + 1 if len(key) else 0)
+        counts = np.empty(len(order), np.int64)
+        counts[order] = totals[key] - np.bincount(own)[own] if len(own) else 0
+        self.parts = np.split(counts, np.cumsum([len(p[0]) for p in parts])[:-1]) if parts else []
 
-    def of(self, hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.known, hashes)
-        _, number, own = np.unique(rows * len(self.known) + at, return_inverse=True, return_counts=True)
-        return self.totals[at] - own[number]
+
+def _parts(grams: list[_Ngrams], n: int, use: list[np.ndarray] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, rows) of the n-grams of each block that lie in a row, or of the chosen ones."""
+    chosen = use or [g.inside[n] for g in grams]
+    return [(g.hash[n][u], g.first + g.rows[: len(u)][u]) for g, u in zip(grams, chosen, strict=True)]
 
 
 def _short(grams: list[_Ngrams]) -> list[np.ndarray]:
-    return [g.hash[n][g.inside[n]] for g in grams for n in (1, 2)]
+    return [h for n in (1, 2) for h, _ in _parts(grams, n)]
 
 
-def _known_triples(gram: _Ngrams, elsewhere: _Elsewhere) -> tuple[np.ndarray, np.ndarray]:
-    """Counts elsewhere of the pairs, and which triples have two known pairs."""
-    pairs = np.zeros(len(gram.hash[2]), np.int64)
-    inside = gram.inside[2]
-    pairs[inside] = elsewhere.of(gram.hash[2][inside], gram.rows[: len(inside)][inside])
-    return pairs, gram.inside[3] & (pairs[:-1] > 0) & (pairs[1:] > 0) if len(pairs) > 1 else np.zeros(len(gram.hash[3]), bool)
+def _words_and_pairs(grams: list[_Ngrams], told: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Of each block: counts elsewhere of its words, of its pairs, and which triples have two known pairs."""
+    found = _Elsewhere([*_parts(grams, 1), *_parts(grams, 2)], told).parts
+    words, pairs, triples = found[: len(grams)], [], []
+    for gram, known in zip(grams, found[len(grams) :], strict=True):
+        every = np.zeros(len(gram.hash[2]), np.int64)
+        every[gram.inside[2]] = known
+        pairs.append(every)
+        triples.append(gram.inside[3] & (every[:-1] > 0) & (every[1:] > 0) if len(every) > 1 else np.zeros(len(gram.hash[3]), bool))
+    return words, pairs, triples
 
 
 def _say_short(ranges: int, text_col: str):
@@ -132,8 +147,8 @@ def _say_triples(ranges: int, text_col: str):
         grams = _grams(table, text_col)
         if not grams:
             return _say(0, ranges, [])
-        elsewhere = _Elsewhere(_short(grams), told)
-        return _say(key[0].as_py(), ranges, [g.hash[3][_known_triples(g, elsewhere)[1]] for g in grams])
+        use = _words_and_pairs(grams, told)[2]
+        return _say(key[0].as_py(), ranges, [h for h, _ in _parts(grams, 3, use)])
 
     return run
 
@@ -144,29 +159,27 @@ def _score(total_words: int, text_col: str, columns: list[str]):
         counts, scores = np.empty(0, np.int64), np.empty(0)
         if grams:
             triple = np.asarray(told.column("triples").to_numpy(zero_copy_only=False), bool)
-            elsewhere = _Elsewhere(_short(grams), told.filter(pa.array(~triple)))
-            known = [_known_triples(g, elsewhere) for g in grams]
-            third = _Elsewhere([g.hash[3][k] for g, (_, k) in zip(grams, known, strict=True)], told.filter(pa.array(triple)))
+            words, pairs, use = _words_and_pairs(grams, told.filter(pa.array(~triple)))
+            third = _Elsewhere(_parts(grams, 3, use), told.filter(pa.array(triple))).parts
             counts = np.concatenate([g.counts for g in grams])
-            scores = np.concatenate([_sums(g, pairs, use, elsewhere, third, total_words) for g, (pairs, use) in zip(grams, known, strict=True)])
+            scores = np.concatenate([_sums(*x, total_words) for x in zip(grams, words, pairs, use, third, strict=True)])
         mean = pa.array(scores / np.maximum(counts, 1), mask=counts == 0)
         return pa.table([*(table.column(c) for c in columns), pa.array(counts, pa.int64()), pa.array(scores), mean], [*columns, "n_words", "log_score", "mean_log_score"])
 
     return run
 
 
-def _sums(gram: _Ngrams, pairs: np.ndarray, use: np.ndarray, elsewhere: _Elsewhere, third: _Elsewhere, total: int) -> np.ndarray:
+def _sums(gram: _Ngrams, words: np.ndarray, pairs: np.ndarray, use: np.ndarray, third: np.ndarray, total: int) -> np.ndarray:
     """The sum of the logarithms of each row's words."""
     size = len(gram.rows)
     if not size:
         return np.zeros(len(gram.counts))
     rest = (total - gram.counts)[gram.rows]
-    words = elsewhere.of(gram.hash[1], gram.rows)
     # From the shortest history to the longest: what is known after more words replaces what backs off to fewer.
     log = np.where(words > 0, np.log(np.maximum(words, 1)) - np.log(np.maximum(rest, 1)), np.log(ALPHA) - np.log(rest + 1))
     for n, count, before in ((2, pairs, words), (3, np.zeros(len(use), np.int64), pairs)):
-        if n == 3 and use.any():
-            count[use] = third.of(gram.hash[3][use], gram.rows[: len(use)][use])
+        if n == 3:
+            count[use] = third
         last = np.flatnonzero(gram.inside[n])
         more, fewer = count[last], before[last]
         at = last + n - 1
@@ -178,7 +191,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Each document with ``n_words``, ``log_score`` (natural) and ``mean_log_score``, which is null without words."""
     spark, path = docs.sparkSession, work_dir(docs.sparkSession, "lm-scores")
     base = docs.drop("n_words", "log_score", "mean_log_score")
-    dealt = chunked(base, id_col)
+    dealt = chunked(base, id_col, CHUNKS_PER_PARTITION)
     slim = dealt.select(text_col, "_chunk", id_col)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with short_lived_shuffles(spark):
