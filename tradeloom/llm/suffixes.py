@@ -6,10 +6,14 @@ the first half, 32 of the second, 16 of both. The first pass is dealt out by Spa
 digits, so that a phrase that very many texts share does not meet in one task; the passes of a task go
 from the leading digit to the last and drop, after each, the suffixes that are alone in their group.
 
-Only suffixes whose anchor (the least hash of an inner gram of ``GRAM`` bytes; equal windows have equal
-anchors) occurs twice or more take part. Chunks are ranges of ids, so the chunk that has the first one
-of a group is the one of least number: a chunk says the digits of its suffixes once each, packed by range,
-and is told which are repeated and whether an earlier chunk has them.
+Suffixes next to each other mostly share their anchor, the least hash of an inner gram of ``GRAM`` bytes, and
+equal suffixes always have equal anchors. A run of suffixes with one anchor is a piece. An anchor of one piece
+has no repeats. Where all pieces of an anchor are alike, they are judged whole: equal pieces are equal
+suffixes, place by place. Only suffixes of the other anchors, where copies part, go through the sort.
+
+Chunks are ranges of ids, so the chunk that has the first one of a group is the one of least number: a chunk
+says its anchors and the digits of its suffixes once each, the latter packed by range, and is told which
+are repeated and whether an earlier chunk has them.
 
 Jobs: anchors, digits, removal; each writes a table in the shared folder, and its shuffle files go when
 it ends. Rows of one id are one document, in the order of their texts. Rows with a null id remove nothing
@@ -30,7 +34,7 @@ from pyspark.sql import types as T
 
 from tradeloom.session import work_dir
 
-from .chunks import ids_of, short_lived_shuffles, signed, unsigned
+from .chunks import extremes, ids_of, short_lived_shuffles, signed, unsigned
 from .packing import edges, planes, unplanes
 from .textcols import Block, Hasher, blocks, covered, mix, unmix
 
@@ -42,6 +46,8 @@ HASHER, CHECKER = Hasher(4), Hasher(104)
 SAID = "_range int, _chunk int, leading binary, last binary"
 TOLD = "_chunk int, _range int, state binary"
 ADDED = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+#: A piece whose anchor stands in it more than once is unlike any, itself included.
+LIMITS = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
 #: What a chunk is told about a suffix.
 ALONE, FIRST_HERE, FIRST_BEFORE = 0, 1, 2
 
@@ -77,24 +83,30 @@ class _Suffixes:
         self.rows, self.whole = rows, whole & known[rows[: len(self.anchors)] + block.first]
         self.anchors[~self.whole] = 0
 
-    def chosen(self) -> np.ndarray:
-        """The grams that are the anchor of a suffix, one for each place."""
-        if not len(self.anchors):
-            return self.grams[:0]
+    def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of suffixes that share an anchor: where they begin, how many suffixes, and the anchor."""
+        own = self.anchors
+        begin = np.flatnonzero(self.whole & np.r_[True, (own[1:] != own[:-1]) | ~self.whole[:-1]]) if len(own) else np.empty(0, np.int64)
+        if not len(begin):
+            return begin, begin, self.grams[:0]
+        change = np.flatnonzero(np.r_[(own[1:] != own[:-1]) | ~self.whole[1:], True]) + 1
+        return begin, change[np.searchsorted(change, begin, "right")] - begin, own[begin]
+
+    def contents(self, begin: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each piece's bytes, and whether its anchor stands in it more than once.
+
+        Suffixes of one piece can only be equal if it does.
+        """
         around = np.zeros(len(self.anchors) + 2 * (self.width - 1), np.uint64)
         around[self.width - 1 : self.width - 1 + len(self.anchors)] = self.anchors
-        return self.grams[sliding(around, self.width, least=False) == self.grams]
-
-    def candidates(self, repeated: np.ndarray) -> np.ndarray:
-        """Where suffixes with repeated anchors begin."""
-        if not len(repeated) or not len(self.anchors):
-            return np.empty(0, np.int64)
-        # Neighbours mostly share their anchor, so it is looked up once a run.
-        begin = np.flatnonzero(np.r_[True, self.anchors[1:] != self.anchors[:-1]])
-        own = self.anchors[begin]
-        at = np.minimum(np.searchsorted(repeated, own), len(repeated) - 1)
-        use = np.repeat(repeated[at] == own, np.diff(np.r_[begin, len(self.anchors)]))
-        return np.flatnonzero(use & self.whole)
+        at = np.flatnonzero(sliding(around, self.width, least=False) == self.grams)
+        known, number = np.unique(self.grams[at], return_inverse=True)
+        size = len(self.grams) + 1
+        places = np.sort(number * size + at)
+        base = np.searchsorted(known, anchor) * size
+        last = begin + count - 1
+        times = np.searchsorted(places, base + last + self.width) - np.searchsorted(places, base + begin)
+        return HASHER.ranges(self.sums, begin, last + self.depth), times > 1
 
     def digits(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The two leading digits as one number, scrambled, and the last one."""
@@ -131,22 +143,45 @@ def _blocks(table: pa.Table, id_col: str, text_col: str, depth: int, gram: int)
 
 def _find_anchors(depth: int, gram: int, id_col: str, text_col: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [s.chosen() for _, s in _blocks(table, id_col, text_col, depth, gram)]
-        found, counts = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.table([signed(found), pa.array(counts, pa.int64()), pa.array(np.full(len(found), key[0].as_py()), pa.int32())], ["anchor", "n", "_chunk"])
+        parts = []
+        for _, suffixes in _blocks(table, id_col, text_col, depth, gram):
+            begin, count, anchor = suffixes.pieces()
+            if len(begin):
+                content, several = suffixes.contents(begin, count, anchor)
+                content = content.view(np.int64)
+                parts.append((anchor, np.where(several, LIMITS[0], content), np.where(several, LIMITS[1], content)))
+        anchor, low, high = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, t) for i, t in enumerate((np.uint64, np.int64, np.int64)))
+        found, least, _, _, most = extremes(anchor, low, high)
+        n = np.unique(anchor, return_counts=True)[1]
+        return pa.table([signed(found), pa.array(n, pa.int32()), pa.array(least), pa.array(most), pa.array(np.full(len(found), key[0].as_py()), pa.int32())], ["anchor", "n", "low", "high", "_chunk"])
 
     return run
 
 
+def _in(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(values), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)] == values
+
+
 def _all_digits(table: pa.Table, repeated: pa.Table, id_col: str, text_col: str, depth: int, gram: int):
-    """For each block its suffixes, where they begin, and the place of each among the chunk's distinct ones; those."""
-    anchors = np.sort(unsigned(repeated.column("anchor")))
-    own = []
+    """For each block the suffixes that are judged singly, and the place of each among the chunk's distinct
+    ones; those; the first of each; and for each block its pieces that are judged whole.
+    """
+    mixed = np.array(repeated.column("mixed").to_numpy(zero_copy_only=False), bool)
+    anchors = unsigned(repeated.column("anchor"))
+    single, plain = np.sort(anchors[mixed]), np.sort(anchors[~mixed])
+    own, wholes = [], []
     for block, suffixes in _blocks(table, id_col, text_col, depth, gram):
-        at = suffixes.candidates(anchors)
+        begin, count, anchor = suffixes.pieces()
+        use = _in(single, anchor)
+        shift = begin[use] - (np.cumsum(count[use]) - count[use])
+        at = np.repeat(shift, count[use]) + np.arange(count[use].sum())
         own.append((block, at, *suffixes.digits(at)))
+        use = _in(plain, anchor)
+        wholes.append((begin[use], count[use], anchor[use]))
     if not own:
-        return [], np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64), np.empty(0, np.int64)
+        return [], np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64), np.empty(0, np.int64), []
     leading, last = np.concatenate([x[2] for x in own]), np.concatenate([x[3] for x in own])
     order = np.lexsort((last, leading))
     sorted_leading, sorted_last = leading[order], last[order]
@@ -155,12 +190,12 @@ def _all_digits(table: pa.Table, repeated: pa.Table, id_col: str, text_col: str,
     number[order] = np.cumsum(new) - 1
     first = np.flatnonzero(new)
     # The sort is stable: the first of equal ones is the first in the order of ids, texts and places.
-    return [(block, at) for block, at, _, _ in own], sorted_leading[first], sorted_last[first], number, order[first]
+    return [(block, at) for block, at, _, _ in own], sorted_leading[first], sorted_last[first], number, order[first], wholes
 
 
 def _say(depth: int, gram: int, ranges: int, id_col: str, text_col: str):
     def run(key: tuple, table: pa.Table, repeated: pa.Table) -> pa.Table:
-        _, leading, last, number, _ = _all_digits(_ordered(table, id_col, text_col), repeated, id_col, text_col, depth, gram)
+        _, leading, last, number, _, _ = _all_digits(_ordered(table, id_col, text_col), repeated, id_col, text_col, depth, gram)
         several = np.bincount(number, minlength=len(leading)) > 1
         edge = edges(leading, ranges)
         filled = [i for i in range(ranges) if edge[i] < edge[i + 1]]
@@ -196,16 +231,25 @@ def _remove(depth: int, gram: int, id_col: str, text_col: str, columns: list[str
         table = _ordered(table, id_col, text_col)
         repeated = told.filter(told.column("anchor").is_valid())
         answers = told.filter(told.column("state").is_valid())
-        own, leading, _, number, first = _all_digits(table, repeated, id_col, text_col, depth, gram)
+        own, leading, _, number, first, wholes = _all_digits(table, repeated, id_col, text_col, depth, gram)
         order = np.argsort(answers.column("_range").to_numpy())
         state = np.frombuffer(b"".join(x.as_py() for x in answers.column("state").take(pa.array(order))), np.uint8)
         assert len(state) == len(leading)
         goes = state[number] != ALONE
         goes[first[state == FIRST_HERE]] = False
-        sizes, removed, spans, kept, low = [], [], [], [], 0
-        for block, at in own:
-            gone = covered(at[goes[low : low + len(at)]], depth, len(block.data))
-            low += len(at)
+        # Of pieces that are alike everywhere all go, but for the first one if it is here.
+        anchor = np.concatenate([w[2] for w in wholes]) if wholes else np.empty(0, np.uint64)
+        stays = np.zeros(len(anchor), bool)
+        stays[np.unique(anchor, return_index=True)[1]] = True
+        before = np.sort(unsigned(repeated.filter(repeated.column("before")).column("anchor")))
+        leaves = ~stays | _in(before, anchor)
+        sizes, removed, spans, kept, low, piece = [], [], [], [], 0, 0
+        for (block, at), (begin, count, _) in zip(own, wholes, strict=True):
+            use, out = goes[low : low + len(at)], leaves[piece : piece + len(begin)]
+            low, piece = low + len(at), piece + len(begin)
+            starts = np.concatenate([at[use], begin[out]])
+            width = np.concatenate([np.full(int(use.sum()), depth), count[out] - 1 + depth])
+            gone = covered(starts, width, len(block.data))
             for row in range(len(block)):
                 a, b = block.bounds[row], block.bounds[row + 1]
                 lost = gone[a:b]
@@ -244,9 +288,12 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, id_col
     slim = dealt.select(id_col, text_col, "_chunk")
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with short_lived_shuffles(spark):
-        anchors = slim.groupBy("_chunk").applyInArrow(_find_anchors(depth, gram, id_col, text_col), "anchor long, n long, _chunk int")
-        anchors = anchors.withColumn("total", F.expr("sum(n) OVER (PARTITION BY anchor)")).where("total > 1")
-        anchors.select("_chunk", "anchor").write.parquet(f"{path}/anchors")
+        anchors = slim.groupBy("_chunk").applyInArrow(_find_anchors(depth, gram, id_col, text_col), "anchor long, n int, low long, high long, _chunk int")
+        # An anchor has a row for each chunk at most.
+        common = {"total": "sum(n)", "least": "min(low)", "most": "max(high)", "first": "min(_chunk)"}
+        anchors = anchors.withColumns({name: F.expr(f"{sql} OVER (PARTITION BY anchor)") for name, sql in common.items()})
+        anchors = anchors.where("total > 1 OR least < most")
+        anchors.selectExpr("_chunk", "anchor", "least < most AS mixed", "first < _chunk AS before").write.parquet(f"{path}/anchors")
         repeated = spark.read.parquet(f"{path}/anchors")
         said = slim.groupBy("_chunk").cogroup(repeated.groupBy("_chunk")).applyInArrow(_say(depth, gram, ranges, id_col, text_col), SAID)
         said.groupBy("_range").applyInArrow(_judge, TOLD).write.parquet(f"{path}/told")
