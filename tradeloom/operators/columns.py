@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from ..session import small_frame
 
 NESTED = (T.ArrayType, T.MapType, T.StructType)
-DIGEST_OVER = 64
 
 
 def _column(field: T.StructField) -> Column:
@@ -29,7 +28,7 @@ def text_value(field: T.StructField) -> Column:
 def _countable(field: T.StructField) -> tuple[str, Column]:
     """A common type, and the value in it such that equal means equal.
 
-    Long texts become the SHA-256 of the whole text, so counting them shuffles 64 bytes each.
+    Every text becomes the SHA-256 of the whole text, so that long ones shuffle no more than short ones.
     """
     c = _column(field)
     if isinstance(field.dataType, T.IntegralType):
@@ -37,8 +36,7 @@ def _countable(field: T.StructField) -> tuple[str, Column]:
     if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
         return "double", c.cast("double")
     if isinstance(field.dataType, (T.StringType, T.BinaryType, *NESTED)):
-        text = text_value(field)
-        return "string", F.when(F.length(text) > DIGEST_OVER, F.sha2(text.cast("binary"), 256)).otherwise(text)
+        return "string", F.sha2(text_value(field).cast("binary"), 256)
     return field.dataType.simpleString(), c
 
 

@@ -108,7 +108,7 @@ def profile(df: DataFrame, name: str, order_by: list[str] | None = None) -> Data
 
 def profile_failure(spark: SparkSession, name: str, error: Exception) -> DataFrame:
     """The single row of a file that could not be read."""
-    known = {"file_name": name, "error": str(error)[:200]}
+    known = {"file_name": name, "error": str(error)}
     return small_frame(spark, [tuple(known.get(n) for n in PROFILE_SCHEMA.names)], PROFILE_SCHEMA)
 
 
@@ -129,14 +129,16 @@ def profile_folder(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_summary(profiles: DataFrame) -> DataFrame:
-    """(total_files, successful_files, total_columns) over profiles."""
+    """(total_files, successful_files, total_columns, total_rows) over profiles."""
     files = profiles.groupBy("file_name").agg(
-        F.max(F.col("error").isNull()).alias("ok"), F.max("total_columns").alias("columns")
+        F.max(F.col("error").isNull()).alias("ok"), F.max("total_columns").alias("columns"),
+        F.max("total_rows").alias("rows"),
     )
     return files.agg(
         F.count("*").alias("total_files"),
         F.count_if("ok").alias("successful_files"),
         F.coalesce(F.sum("columns"), F.lit(0)).alias("total_columns"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
     )
 
 

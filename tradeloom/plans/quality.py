@@ -160,6 +160,11 @@ def violations(df: DataFrame, predicate: str) -> DataFrame:
     return df.agg(F.count_if(F.expr(predicate)).alias("violations"))
 
 
+RESULT_SCHEMA = (
+    "rule_id bigint, rule_name string, table_name string, actual string, expected string, passed boolean, severity string"
+)
+
+
 def _rule_row(rule_id: int, rule: Rule, actual: Column) -> Column:
     return F.struct(
         F.lit(rule_id).cast("bigint").alias("rule_id"),
@@ -187,7 +192,7 @@ def run_rules(spark: SparkSession, t: Tables, rules: list[Rule], schema: str = "
         if not r.predicate:
             cell = spark.sql(r.query(schema))
             parts.append(cell.limit(1).select(F.inline(F.array(_rule_row(i, r, F.col(f"`{cell.columns[0]}`"))))))
-    return union(parts)
+    return union(parts) if parts else small_frame(spark, [], RESULT_SCHEMA)
 
 
 def run_stored_rules(spark: SparkSession, rules_table: str) -> DataFrame:
@@ -214,7 +219,7 @@ def rule_metrics(results: DataFrame) -> DataFrame:
     return results.select(
         "table_name",
         F.col("rule_name").alias("metric_name"),
-        F.col("actual").try_cast("decimal(38,4)").alias("metric_value"),
+        F.col("actual").try_cast("decimal(38,18)").alias("metric_value"),
         F.when(F.col("passed"), "PASS").otherwise(F.col("severity")).alias("metric_status"),
         F.to_json(F.struct("rule_id", "expected")).alias("details"),
     )

@@ -9,17 +9,23 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans import quality
 from ..session import work_dir
 from ..sources.files import Manifest, read_table
 from ..sources.specs import ORDER_ITEMS, TABLES
-from ..sources.star import StarTables, canonical
+from ..sources.star import canonical
 from ..warehouse import catalog, loading, monitoring
 from .check_queries import RULES
 from .mart_queries import CUSTOMER_LTV, DAILY_ORDERS
 from .star_sql import with_star
 
+# How many columns the adapter gives each table.
+COLUMNS = {
+    "customers": 5, "geolocation": 5, "orders": 8, "order_items": 7, "order_payments": 5, "order_reviews": 4,
+    "products": 5, "sellers": 4, "product_category_translation": 2,
+}
 STORED = ("customers", "orders", "order_items", "order_reviews", "products", "product_category_translation")
 
 
@@ -57,12 +63,10 @@ def _load_all(spark: SparkSession, folder: str) -> DataFrame:
 
 def _manifest_load(spark: SparkSession, folder: str) -> DataFrame:
     source, prefix = work_dir(spark, "manifest"), _layers(spark)
-    names = ("customer", "supplier", "part")
-    star = StarTables(spark, folder)
-    for name in names:
-        _write_csv(star[name], f"{source}/{name}.csv")
+    for name, df in canonical(spark, folder).items():
+        _write_csv(df, f"{source}/{name}.csv")
     text = json.dumps({
-        "files": [{"file": f"{n}.csv", "table": f"{n}_dataset", "format": "csv", "header": True} for n in names],
+        "files": [{"file": f"{n}.csv", "table": f"{n}_dataset", "format": "csv", "header": True} for n in TABLES],
         "target_schema": f"{prefix}raw_data",
     })
     summary = loading.load_manifest(spark, Manifest.from_json(text), source)
@@ -84,14 +88,15 @@ def _refresh_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _analyze_schema(spark: SparkSession, folder: str) -> DataFrame:
-    prefix = _stored(spark, folder, ("order_items", "orders"))
+    prefix = _stored(spark, folder, tuple(TABLES))
     return catalog.analyze_schema(spark, f"{prefix}raw_data")
 
 
 def _table_stats(spark: SparkSession, folder: str) -> DataFrame:
     schema = f"{_stored(spark, folder, ('order_items',))}raw_data"
-    catalog.analyze_schema(spark, schema)
-    return catalog.table_stats(spark, schema, "order_items").select("row_count", "column_count")
+    # The size is known before anything was analyzed.
+    known = F.col("table_size") != "0 bytes"
+    return catalog.table_stats(spark, schema, "order_items").select("row_count", "column_count", known.alias("has_size"))
 
 
 def _quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,10 +151,10 @@ def _oracle() -> dict[str, str]:
                 [*[_loaded(t, c) for t, c in loaded.items()], "SELECT 'sellers', 'FAILED', NULL"]
             )
         ),
-        "manifest_load": "\nUNION ALL\n".join(
-            f"SELECT '{n}_dataset' AS table_name, 'SUCCESS' AS status, COUNT(*) AS rows FROM {n}"
-            for n in ("customer", "supplier", "part")
-        ),
+        "manifest_load": with_star("\nUNION ALL\n".join(
+            f"SELECT '{n}_dataset' AS table_name, 'SUCCESS' AS status, COUNT(*) AS rows FROM {c}"
+            for n, c in {**loaded, "sellers": "c_sellers"}.items()
+        )),
         "refresh_all": with_star(
             """SELECT 'mv_daily_orders' AS name, (SELECT COUNT(*) FROM v_daily) AS row_count
                UNION ALL SELECT 'mv_customer_ltv', (SELECT COUNT(*) FROM v_ltv)
@@ -160,10 +165,11 @@ def _oracle() -> dict[str, str]:
             v_daily=DAILY_ORDERS,
             v_ltv=CUSTOMER_LTV,
         ),
-        "analyze_schema": """
-            SELECT 'order_items' AS table_name, COUNT(*) > 0 AS analyzed FROM lineitem
-            UNION ALL SELECT 'orders', COUNT(*) > 0 FROM orders""",
-        "table_stats": "SELECT COUNT(*) AS row_count, 7 AS column_count FROM lineitem",
+        "analyze_schema": with_star("\nUNION ALL\n".join(
+            f"SELECT '{n}' AS table_name, COUNT(*) AS row_count, CAST({COLUMNS[n]} AS BIGINT) AS columns FROM {c}"
+            for n, c in {**loaded, "sellers": "c_sellers"}.items()
+        )),
+        "table_stats": "SELECT COUNT(*) AS row_count, 7 AS column_count, TRUE AS has_size FROM lineitem",
         "quality_metrics": CHECKS["rule_metrics"],
         "stored_rules": CHECKS["run_rules"],
     }

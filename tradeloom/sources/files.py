@@ -13,19 +13,30 @@ from ..functions.casting import CASTS
 from .specs import TABLES, TableSpec
 
 
+#: Holds the text of a CSV row that has more or fewer fields than the header.
+BAD_ROW = "_bad_row"
+
+
 def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Every column as text. Only multi-line files lose the ability to be read in splits."""
-    df = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("nullValue", "")
-        .csv(path)
-    )
-    if not df.columns:
+    """Every column as text, and ``BAD_ROW``. Only multi-line files lose the ability to be read in splits.
+
+    A part file whose header differs from the first one's is an error, not a shift of columns.
+    """
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("nullValue", "")
+            .option("enforceSchema", False)
+        )
+
+    columns = reader().csv(path).schema
+    if not columns.names:
         raise ValueError(f"no columns to parse in {path}")
-    return df
+    return reader().schema(columns.add(BAD_ROW, "string")).option("columnNameOfCorruptRecord", BAD_ROW).csv(path)
 
 
 def clean(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -38,9 +49,10 @@ def clean(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[rule(name) for name in df.columns])
 
 
-def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """A CSV file (or folder of part files) with the spec's types."""
-    return clean(_csv_text(spark, path, spec.multi_line), spec.columns)
+def read_table(spark: SparkSession, path: str, spec: TableSpec, keep_bad_rows: bool = False) -> DataFrame:
+    """A CSV file (or folder of part files) with the spec's types; on demand with ``BAD_ROW``."""
+    df = clean(_csv_text(spark, path, spec.multi_line), spec.columns)
+    return df if keep_bad_rows else df.drop(BAD_ROW)
 
 
 def may_break_lines(path: str) -> bool:
@@ -85,9 +97,9 @@ def file_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def locate(paths: list[str], spec: TableSpec) -> str | None:
-    """The discovered path that belongs to a spec."""
-    return next((p for p in paths if fnmatch(file_name(p), spec.file_pattern)), None)
+def locate(paths: list[str], spec: TableSpec) -> list[str]:
+    """All discovered paths that belong to a spec."""
+    return [p for p in paths if fnmatch(file_name(p), spec.file_pattern)]
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table is laid out in files; the lookup columns decide what a scan can skip.
+    """How a table is laid out in files; the columns named here decide what a scan can skip.
 
     Bucketing on the order id lets items, reviews and payments meet their order without a
     shuffle. It is not the default: a bucket cannot be split, so it suits keys without hot values.
@@ -26,7 +26,6 @@ class TableSpec:
     file_pattern: str
     columns: dict[str, str]
     key: tuple[str, ...] = ()
-    lookup: tuple[str, ...] = ()
     layout: Layout = field(default_factory=Layout)
     multi_line: bool = False
     comment: str = ""
@@ -45,7 +44,6 @@ CUSTOMERS = TableSpec(
         "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state",
     ),
     key=("customer_id",),
-    lookup=("customer_unique_id", "customer_state", "customer_zip_code_prefix"),
     layout=Layout(sort_by=("customer_state", "customer_zip_code_prefix")),
     comment="One row per order's customer; the unique id is the person behind it",
     column_comments={"customer_unique_id": "The person, the same across that person's orders"},
@@ -58,7 +56,6 @@ GEOLOCATION = TableSpec(
         **_typed("float", "geolocation_lat", "geolocation_lng"),
         **_typed("string", "geolocation_city", "geolocation_state"),
     },
-    lookup=("geolocation_zip_code_prefix", "geolocation_state"),
     layout=Layout(sort_by=("geolocation_zip_code_prefix",)),
     comment="Coordinates seen for a zip code prefix; several rows per prefix",
 )
@@ -74,7 +71,6 @@ ORDERS = TableSpec(
         ),
     },
     key=("order_id",),
-    lookup=("customer_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date"),
     layout=Layout(sort_by=("order_purchase_timestamp",)),
     comment="Fact table: customers, payments, reviews and items all hang off it",
     column_comments={"order_status": "Stage of the order, from created to delivered, or canceled"},
@@ -90,7 +86,6 @@ ORDER_ITEMS = TableSpec(
         **_typed("float", "price", "freight_value"),
     },
     key=("order_id", "order_item_id"),
-    lookup=("order_id", "product_id", "seller_id"),
     layout=Layout(sort_by=("order_id",)),
     comment="Order lines, each one product from one seller",
     column_comments={"order_item_id": "Line number inside the order, starting at 1"},
@@ -106,7 +101,6 @@ ORDER_PAYMENTS = TableSpec(
         **_typed("float", "payment_value"),
     },
     key=("order_id", "payment_sequential"),
-    lookup=("order_id", "payment_type"),
     layout=Layout(sort_by=("order_id",)),
     comment="Payments; an order may be paid in several parts",
     column_comments={"payment_sequential": "Number of the payment inside the order"},
@@ -121,7 +115,6 @@ ORDER_REVIEWS = TableSpec(
         **_typed("datetime", "review_creation_date", "review_answer_timestamp"),
     },
     key=("review_id",),
-    lookup=("order_id", "review_score", "review_creation_date"),
     layout=Layout(sort_by=("order_id",)),
     multi_line=True,
     comment="Reviews of orders; usually one, sometimes several per order",
@@ -138,7 +131,6 @@ PRODUCTS = TableSpec(
         ),
     },
     key=("product_id",),
-    lookup=("product_category_name",),
     layout=Layout(sort_by=("product_category_name",)),
     comment="Catalog of products offered",
 )
@@ -147,7 +139,6 @@ SELLERS = TableSpec(
     file_pattern="*sellers_dataset.csv",
     columns=_typed("string", "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
     key=("seller_id",),
-    lookup=("seller_state", "seller_zip_code_prefix"),
     layout=Layout(sort_by=("seller_state", "seller_zip_code_prefix")),
     comment="Marketplace sellers",
 )

@@ -110,22 +110,31 @@ def _tables(spark: SparkSession, schema: str) -> list[str]:
 
 
 def analyze_schema(spark: SparkSession, schema: str) -> DataFrame:
-    """Collect column statistics for every table of a database; (table_name, analyzed) of each."""
-    names = _tables(spark, schema)
+    """Collect column statistics for every table of a database; (table_name, row_count, columns) of each,
+    as Spark holds them afterwards: stored rows, and columns with statistics.
+    """
+    names, done = _tables(spark, schema), []
     for name in names:
         table = quoted(schema, name)
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
         now = spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_literal(ANALYZED)} = {_literal(now)})")
-    return small_frame(spark, [(n, True) for n in names], "table_name string, analyzed boolean")
+        held = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").first()
+        rows = int(held.data_type.split(", ")[1].split(" ")[0])
+        counted = [
+            {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} {quoted(c)}").collect()}
+            for c in spark.table(table).columns
+        ]
+        done.append((name, rows, sum(c.get("distinct_count") not in (None, "NULL") for c in counted)))
+    return small_frame(spark, done, "table_name string, row_count bigint, columns bigint")
 
 
 def table_stats(spark: SparkSession, schema: str, table: str) -> DataFrame:
     """(row_count, column_count, table_size, last_analyzed) of a table."""
     name = quoted(schema, table)
     df = spark.table(name)
-    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    size = described.get("Statistics", "0 bytes").split(" ")[0]
+    # The planner's size: stored statistics, or the length of the files before any were collected.
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     return df.agg(F.count("*").alias("row_count")).select(
         "row_count",

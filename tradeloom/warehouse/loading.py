@@ -5,30 +5,32 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import small_frame
-from ..sources.files import Manifest, discover, locate, read_entry, read_table
+from ..sources.files import BAD_ROW, Manifest, discover, locate, read_entry, read_table
 from ..sources.specs import TABLES, TableSpec
 from .catalog import quoted, write_table
 from .monitoring import append_load_history
 
 PARALLEL_LOADS = 4
 SUMMARY_SCHEMA = (
-    "table_name string, schema_name string, status string, rows bigint, error string, seconds double"
+    "table_name string, schema_name string, status string, rows bigint, error string, seconds double, bad_rows bigint"
 )
 
 
-def _attempt(spark: SparkSession, schema: str, table: str, load: Callable[[], None]) -> tuple:
-    """Run one load. A failure is recorded and does not stop the others."""
-    start = time.monotonic()
+def _attempt(spark: SparkSession, schema: str, table: str, load: Callable[[], int | None]) -> tuple:
+    """Run one load, which returns its number of bad rows. A failure is recorded and does not stop the others."""
+    start, bad = time.monotonic(), None
     try:
-        load()
+        bad = load()
         rows, status, error = spark.table(quoted(schema, table)).count(), "SUCCESS", None
     except Exception as problem:  # noqa: BLE001 - whatever went wrong belongs in the summary
-        rows, status, error = None, "FAILED", str(problem)[:500]
-    return (table, schema, status, rows, error, round(time.monotonic() - start, 2))
+        rows, status, error = None, "FAILED", str(problem)
+    return (table, schema, status, rows, error, round(time.monotonic() - start, 2), bad)
 
 
 def load_all(
@@ -44,11 +46,17 @@ def load_all(
     """
     paths = discover(spark, folder)
 
-    def load(spec: TableSpec) -> None:
-        path = locate(paths, spec)
-        if path is None:
+    def load(spec: TableSpec) -> int:
+        own = locate(paths, spec)
+        if not own:
             raise FileNotFoundError(f"no file like {spec.file_pattern}")
-        write_table(read_table(spark, path, spec), schema, spec.name, spec.layout)
+        # Every matching file, by column name. Bad rows are counted while the table is written.
+        parts = [read_table(spark, path, spec, keep_bad_rows=True) for path in own]
+        seen = Observation()
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        df = df.observe(seen, F.count_if(F.col(BAD_ROW).isNotNull()).alias("bad"))
+        write_table(df.drop(BAD_ROW), schema, spec.name, spec.layout)
+        return seen.get["bad"]
 
     # Loads are independent jobs; running a few at a time fills the executors a small table leaves idle.
     with ThreadPoolExecutor(PARALLEL_LOADS) as pool:

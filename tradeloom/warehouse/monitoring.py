@@ -36,7 +36,7 @@ def append_metrics(spark: SparkSession, metrics: DataFrame, table: str = "data_q
         F.current_timestamp().alias("check_timestamp"),
         "table_name",
         "metric_name",
-        F.col("metric_value").cast("decimal(38,4)").alias("metric_value"),
+        F.col("metric_value").cast("decimal(38,18)").alias("metric_value"),
         "metric_status",
         "details",
     )
