@@ -1,0 +1,88 @@
+"""Amounts, keys, files and texts that must not be cut, rounded or lost."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradeloom.operators.columns import column_counts
+from tradeloom.plans import kpis, marts, profiling, quality
+from tradeloom.sources.files import read_table
+from tradeloom.sources.specs import TABLES
+from tradeloom.sources.star import _zip
+from tradeloom.warehouse import catalog, loading
+
+
+def items(spark, *prices):
+    rows = [(f"unreviewed{i}", i, "p", "s", None, p, 0.0) for i, p in enumerate(prices)]
+    return spark.createDataFrame(rows, "order_id string, order_item_id bigint, product_id string, seller_id string, shipping_limit_date timestamp, price double, freight_value double")
+
+
+@pytest.mark.parametrize("prices, total", [([0.00004] * 10, 0.0004), ([1e15, 0.25], 1e15 + 0.25), ([0.1, 0.2, None], 0.3), ([float("inf"), 1.0], float("inf")), ([12.3456, -12.3456], 0.0)])
+def test_every_amount_counts(spark, shop, prices, total):
+    t = {**shop, "order_items": items(spark, *prices)}
+    t["sellers"] = spark.createDataFrame([("s", "1", "c", "x")], "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string")
+    assert marts.seller_performance(t).first()["total_revenue"] == pytest.approx(total, rel=1e-12)
+    kpis.item_pack(t).collect()
+
+
+def test_amounts_no_decimal_holds_are_null_in_the_report(spark, shop):
+    paid = spark.createDataFrame([("o", float("inf")), ("p", 1.0)], "order_id string, payment_value double")
+    assert kpis.payment_pack({**shop, "order_payments": paid}).first()["total_revenue"] is None
+
+
+def test_long_keys_stay_apart(spark):
+    keys = spark.createDataFrame([(7,), (123456,), (123457,)], "k bigint").select(_zip("k").alias("z"))
+    assert [r["z"] for r in keys.orderBy("z").collect()] == ["00007", "123456", "123457"]
+
+
+def test_a_text_and_the_text_of_its_digest_are_two(spark):
+    text = "x" * 100
+    df = spark.createDataFrame([(text,)], "c string")
+    both = df.unionAll(df.select(F.sha2("c", 256)))
+    assert column_counts(both).first()["unique_count"] == 2
+
+
+def write(folder, name, text):
+    (folder / name).write_text(text)
+    return str(folder / name)
+
+
+def test_all_files_of_a_table_load_and_bad_rows_are_reported(spark, tmp_path):
+    write(tmp_path, "a_sellers_dataset.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,c,x\ns2,2,c,x,surplus\n")
+    write(tmp_path, "b_sellers_dataset.csv", "seller_city,seller_id,seller_state,seller_zip_code_prefix\nc,s3,x,3\n")
+    catalog.create_layers(spark, "probe_", str(tmp_path / "warehouse"))
+    summary = loading.load_all(spark, str(tmp_path), "probe_raw_data", {"sellers": TABLES["sellers"]}).first()
+    assert (summary["status"], summary["rows"], summary["bad_rows"]) == ("SUCCESS", 3, 1)
+    rows = {r["seller_id"]: r["seller_city"] for r in spark.table("probe_raw_data.sellers").collect()}
+    assert rows == {"s1": "c", "s2": "c", "s3": "c"}
+    stats = catalog.table_stats(spark, "probe_raw_data", "sellers").first()
+    assert stats["table_size"] != "0 bytes" and stats["last_analyzed"] is None
+    assert [tuple(r) for r in catalog.analyze_schema(spark, "probe_raw_data").collect()] == [("sellers", 3, 4)]
+
+
+def test_part_files_with_other_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "x_sellers_dataset.csv"
+    folder.mkdir()
+    write(folder, "part-0.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,c,x\n")
+    write(folder, "part-1.csv", "seller_city,seller_id,seller_state,seller_zip_code_prefix\nc,s3,x,3\n")
+    with pytest.raises(Exception, match="header"):
+        read_table(spark, str(folder), TABLES["sellers"]).collect()
+
+
+def test_errors_are_whole_and_no_rules_are_no_rows(spark):
+    assert profiling.profile_failure(spark, "f", ValueError("e" * 900)).first()["error"] == "e" * 900
+    assert quality.run_rules(spark, {}, []).count() == 0
+
+
+def test_a_check_that_fails_at_run_time_fails_alone(spark, shop):
+    broken = shop["order_items"].withColumn("price", F.raise_error(F.lit("no price")).cast("double"))
+    t = {**shop, "order_items": broken}
+    rows = {r["check_name"]: r["value"] for r in kpis.kpi_report_checked(spark, t).collect()}
+    whole = {r["check_name"]: r["value"] for r in kpis.kpi_report(spark, shop).collect()}
+    failed = {name for name, value in rows.items() if value.startswith("Error")}
+    assert failed == {"Average Product Price (BRL)"}
+    assert all(rows[n] == whole[n] for n in whole if n not in failed)
+
+
+@pytest.mark.parametrize("name", sorted(kpis.ALONE))
+def test_indicators_alone_as_in_their_pack(shop, name):
+    assert kpis.kpi(shop, name).first()[0] == kpis.customer_pack(shop).first()[name]

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import money_sums, money_total
 from ..plans import marts
 from ..sources.star import canonical
 from .star_sql import with_star
@@ -21,7 +22,15 @@ def _mart(build, *decimals: str):
     return run
 
 
+def _tax_relief(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of amounts of six decimals, per return flag."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    sums = lines.groupBy("l_returnflag").agg(*money_sums("(l_extendedprice * l_discount * l_tax)", "relief"))
+    return sums.select("l_returnflag", F.round(money_total("relief"), 3).alias("relief"))
+
+
 QUERIES = {
+    "six_decimal_sums": _tax_relief,
     "order_summary": _mart(marts.order_summary),
     "product_performance": _mart(marts.product_performance),
     "seller_performance": _mart(marts.seller_performance),
@@ -109,6 +118,10 @@ CATEGORY_PERFORMANCE = """
     GROUP BY COALESCE(english, p.native)"""
 
 ORACLE = {
+    "six_decimal_sums": """
+        SELECT l_returnflag, round(CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(6,2))
+               * CAST(l_tax AS DECIMAL(6,2)) AS DECIMAL(38,8))) AS DOUBLE), 3) AS relief
+        FROM lineitem GROUP BY l_returnflag""",
     "order_summary": with_star(ORDER_SUMMARY),
     "product_performance": with_star(PRODUCT_PERFORMANCE),
     "seller_performance": with_star(SELLER_PERFORMANCE),
