@@ -38,7 +38,7 @@ from .textcols import NOT_SPACE, Block, Hasher, blocks, mix
 SHINGLE = 3
 PERCENT = 90
 SPARE = 1
-MANY = 100
+MANY = 32
 BLOCK = 256
 HASHER = Hasher(9)
 U64 = np.uint64
