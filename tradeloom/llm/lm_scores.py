@@ -32,7 +32,7 @@ from .packing import edges, planes, unplanes
 from .textcols import NOT_SPACE, Block, Hasher, blocks
 
 ALPHA = 0.4
-CHUNKS_PER_PARTITION = 2
+CHUNKS_PER_PARTITION = 3
 HASHER = Hasher(2)
 SAID = "_range int, _chunk int, keys binary, counts binary, words long"
 TOLD = "_chunk int, _range int, totals binary, words long"
@@ -69,14 +69,17 @@ def _say(chunk: int, ranges: int, keys: list[np.ndarray], words: int = 0) -> pa.
 def _sum(key: tuple, table: pa.Table) -> pa.Table:
     """The totals of one range of hashes, for each chunk in the order of its own hashes."""
     parts = [np.cumsum(unplanes(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("keys")]
-    counts = [unplanes(x.as_py(), np.uint32) for x in table.column("counts")]
+    begin = np.r_[0, np.cumsum([len(p) for p in parts])]
     every = np.concatenate(parts)
+    del parts
     order = np.argsort(every, kind="stable")
-    new = np.r_[True, every[order][1:] != every[order][:-1]]
-    sums = np.add.reduceat(np.concatenate(counts).astype(np.int64)[order], np.flatnonzero(new))
-    totals = np.empty(len(every), np.int64)
-    totals[order] = sums[np.cumsum(new) - 1]
-    begin = np.r_[0, np.cumsum([len(p) for p in parts])]
+    every = every[order]
+    new = np.r_[True, every[1:] != every[:-1]]
+    del every
+    counts = np.concatenate([unplanes(x.as_py(), np.uint32) for x in table.column("counts")])[order]
+    sums = np.add.reduceat(counts, np.flatnonzero(new), dtype=np.int64)
+    totals = np.empty(len(order), np.int64)
+    totals[order] = sums[np.cumsum(new, dtype=np.int32) - 1]
     return pa.table(
         [table.column("_chunk"), table.column("_range"), pa.array([planes(totals[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.binary()), table.column("words")],
         ["_chunk", "_range", "totals", "words"],
@@ -98,14 +101,16 @@ class _Elsewhere:
     """Counts in other documents of the n-grams of a chunk: its totals, without the row's own occurrences."""
 
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], told: pa.Table):
-        hashes, rows = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, t) for i, t in enumerate((np.uint64, np.int64)))
+        hashes, rows = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, t) for i, t in enumerate((np.uint64, np.int32)))
         totals = _totals(told)
         # The sort is stable and rows ascend, so those of a row lie together among equal hashes.
         order = np.argsort(hashes, kind="stable")
         hashes, rows = hashes[order], rows[order]
         other = hashes[1:] != hashes[:-1]
-        key = np.cumsum(np.r_[np.zeros(min(1, len(hashes)), bool), other])
-        own = np.cumsum(np.r_[np.zeros(min(1, len(hashes)), bool), other | (rows[1:] != rows[:-1])])
+        one = np.zeros(min(1, len(hashes)), bool)
+        key = np.cumsum(np.r_[one, other], dtype=np.int32)
+        own = np.cumsum(np.r_[one, other | (rows[1:] != rows[:-1])], dtype=np.int32)
+        del hashes, rows, other
         assert len(totals) == (key[-1] + 1 if len(key) else 0)
         counts = np.empty(len(order), np.int64)
         counts[order] = totals[key] - np.bincount(own)[own] if len(own) else 0
@@ -115,7 +120,7 @@ class _Elsewhere:
 def _parts(grams: list[_Ngrams], n: int, use: list[np.ndarray] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """(hashes, rows) of the n-grams of each block that lie in a row, or of the chosen ones."""
     chosen = use or [g.inside[n] for g in grams]
-    return [(g.hash[n][u], g.first + g.rows[: len(u)][u]) for g, u in zip(grams, chosen, strict=True)]
+    return [(g.hash[n][u], (g.first + g.rows[: len(u)][u]).astype(np.int32)) for g, u in zip(grams, chosen, strict=True)]
 
 
 def _short(grams: list[_Ngrams]) -> list[np.ndarray]:
@@ -193,7 +198,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     base = docs.drop("n_words", "log_score", "mean_log_score")
     dealt = chunked(base, id_col, CHUNKS_PER_PARTITION)
     slim = dealt.select(text_col, "_chunk", id_col)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 // 3)
     with short_lived_shuffles(spark):
         said = slim.groupBy("_chunk").applyInArrow(_say_short(ranges, text_col), SAID)
         said.groupBy("_range").applyInArrow(_sum, TOLD).write.parquet(f"{path}/short")
