@@ -188,7 +188,7 @@ def test_profile_folder(spark, folder, tmp_path):
     assert (message.non_null_count, message.null_count, message.null_pct) == (1, 1, 50.0)
     assert got["empty_products_dataset.csv", None].error
     summary = profiling.profile_summary(profiles).first()
-    assert tuple(summary) == (6, 5, 5 + 8 + 7 + 7 + 2)
+    assert tuple(summary) == (6, 5, 5 + 8 + 7 + 7 + 2, 8)
     out = str(tmp_path / "profile")
     profiling.write_profile_json(profiles, out)
     files = {r.file_name: r for r in spark.read.json(out).collect()}
