@@ -32,7 +32,7 @@ from .packing import edges, planes, unplanes
 from .textcols import NOT_SPACE, Block, Hasher, blocks
 
 ALPHA = 0.4
-CHUNKS_PER_PARTITION = 3
+CHUNKS_PER_PARTITION = 4
 HASHER = Hasher(2)
 SAID = "_range int, _chunk int, keys binary, counts binary, words long"
 TOLD = "_chunk int, _range int, totals binary, words long"
@@ -41,13 +41,13 @@ TOLD = "_chunk int, _range int, totals binary, words long"
 class _Ngrams:
     """Words, pairs and triples of a block by hash, with the rows they are in."""
 
-    def __init__(self, block: Block):
+    def __init__(self, block: Block, most: int):
         words = block.words(NOT_SPACE, lower=True)
         hashes = words.hashes(HASHER)
         self.first, self.rows = block.first, words.rows
         self.counts = np.diff(words.first)
-        self.inside = {n: words.within(n) for n in (1, 2, 3)}
-        self.hash = {n: HASHER.windows(hashes, n) for n in (1, 2, 3)}
+        self.inside = {n: words.within(n) for n in range(1, most + 1)}
+        self.hash = {n: HASHER.windows(hashes, n) for n in range(1, most + 1)}
 
 
 def _say(chunk: int, ranges: int, keys: list[np.ndarray], words: int = 0) -> pa.Table:
@@ -93,8 +93,8 @@ def _totals(told: pa.Table) -> np.ndarray:
     return np.concatenate([unplanes(x.as_py(), np.int64) for x in parts]) if len(parts) else np.empty(0, np.int64)
 
 
-def _grams(table: pa.Table, text_col: str) -> list[_Ngrams]:
-    return [_Ngrams(block) for block in blocks(table.column(text_col))]
+def _grams(table: pa.Table, text_col: str, most: int = 3) -> list[_Ngrams]:
+    return [_Ngrams(block, most) for block in blocks(table.column(text_col))]
 
 
 class _Elsewhere:
@@ -141,7 +141,7 @@ def _words_and_pairs(grams: list[_Ngrams], told: pa.Table) -> tuple[list[np.ndar
 
 def _say_short(ranges: int, text_col: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        grams = _grams(table, text_col)
+        grams = _grams(table, text_col, 2)
         return _say(key[0].as_py(), ranges, _short(grams), sum(len(g.rows) for g in grams))
 
     return run
