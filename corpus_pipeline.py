@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays."""
-    return jaccard.keep_first(docs)
+    """Of each group of documents that share 80 % of their 5-word shingles the one with the least id stays."""
+    return jaccard.keep_first(docs, size=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
