@@ -6,7 +6,8 @@ shards by a hash of their id and the queries to blocks of bounded size, so that
 of many copies spreads over all shards and no task holds more than one shard and one block. In its task
 a shard posts its vectors in inverted files, one a pivot. A query reads the files of its own pivots,
 which gives its footrule distance to each vector posted there, reranks the nearest part of the shard
-(``RERANK``) by exact distance, and keeps its k best; a window picks the best over all shards.
+(``RERANK``, and all that tie with its last) by exact distance, and keeps its k best; a window picks the
+best over all shards.
 
 Ids that are null and vectors that are null, zero, of another dimension than most vectors (the smaller
 one if two are as common) or hold null or non-finite parts take no part. Of rows that repeat an id the
@@ -110,7 +111,8 @@ def _nearest(k: int, pivots: int, rerank: float):
             wanted = min(len(ids), k + 1 + int(np.ceil(rerank * len(ids))))
             for query, vector, near in zip(queries.column("vec_id").to_numpy(), _matrix(queries.column("vector")), _matrix(queries.column("near")), strict=True):
                 distance = files.footrule(near)
-                at = np.argpartition(distance, wanted - 1)[:wanted]
+                # What ties at the cut is as near as what is inside, so all of it is reranked.
+                at = np.flatnonzero(distance <= np.partition(distance, wanted - 1)[wanted - 1])
                 at = at[ids[at] != query]
                 exact = np.sqrt(((own[at] - vector) ** 2).sum(1))
                 best = np.lexsort((ids[at], exact))[:k]
