@@ -1,19 +1,20 @@
 """Personal data: fixed patterns for entities, and the terms of the corpus that reveal them.
 
-Base matches (addresses, numbers) are protected entities. Words near a mention may reveal an entity as
-well: over the whole corpus, the share of the entity's information that a word discloses is
+Base matches (addresses, numbers) are protected entities. Words of the same documents may reveal an entity
+as well: over the whole corpus, the share of the entity's information that a word discloses is
 
     log2(N * n(term, entity) / (n(term) * n(entity))) / log2(N / n(entity))
 
-with N documents, n(term) and n(entity) those that hold one, and n(term, entity) the different texts that
-hold the word within ``NEAR`` characters of the entity. It is 1 if the word occurs with the entity alone,
-and 0 if it is no more common there than elsewhere. With ``SUPPORT`` or more such texts, a word that
-discloses ``GENERALISE`` or more is replaced by a class, and one that discloses ``REMOVE`` or more goes.
+with N documents, n(term), n(entity) and n(term, entity) those that hold one or both, at any distance.
+It is 1 if the word occurs with the entity alone, and 0 if it is no more common there than elsewhere. With
+``SUPPORT`` or more different texts of both, a word that discloses ``GENERALISE`` or more is replaced by a
+class, and one that discloses ``REMOVE`` or more goes: wherever it stands, with the entity or without.
+Words are runs of letters and digits of any length that begin with a letter, outside the base matches.
 
 SQL functions only. Counts are pre-aggregated before each exchange, so that an entity or word of very
-many documents does not gather in one task; the mentions join what they disclose on both columns, with an
-exchange on each side that can be split. Null texts count as empty. Rows are told apart by id (null is a
-value) and text: repeated rows get the same spans. Other columns are kept.
+many documents does not gather in one task; equal texts are one row; words too common to disclose an entity
+are left out before words and entities meet, which loses no pair. Null texts count as empty. Texts are told
+apart by 64 hash bits: repeated texts get the same spans. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.session import work_dir
 
-from .spans import SPANS, as_spans, matches, overlaps
+from .spans import SPANS, as_spans, matches
 
 #: The kinds in their order and their patterns. Runs are taken whole and never given back.
 KINDS = ("email", "ip", "card", "phone")
@@ -32,9 +33,10 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-WORD = r"\p{L}[\p{L}\p{N}]{3,}"
+#: Stands for each character of a base match where words are sought. A word that runs into one is none.
+MASK = "\ue000"
+WORD = rf"\p{{L}}[\p{{L}}\p{{N}}]*+(?!{MASK})"
 
-NEAR = 60
 SUPPORT = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -59,44 +61,49 @@ def base_matches(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.drop(*KINDS).withColumns(_base(text))
 
 
-def _surroundings(text: Column) -> Column:
-    """What stands around each base match: low and high are its place in the text."""
-    every = F.concat(*(F.transform(F.col(kind), lambda x, kind=kind: F.struct(F.lit(kind).alias("kind"), x["start"], x["end"], x["text"])) for kind in KINDS))
+def _masked(text: Column) -> Column:
+    """The text with ``MASK`` for each character of a base match; places stay what they are."""
+    spans = F.array_sort(F.concat(*(F.transform(F.col(kind), lambda x: F.struct(x["start"], x["end"])) for kind in KINDS)))
 
-    def around(x: Column) -> Column:
-        low, high = F.greatest(x["start"] - NEAR, F.lit(0)), F.least(x["end"] + NEAR, F.length(text))
-        return F.struct(x["kind"], x["text"].alias("entity"), low.alias("low"), high.alias("high"), (high == F.length(text)).alias("last"), F.substring(text, low + 1, high - low).alias("around"))
+    def step(seen: Column, x: Column) -> Column:
+        gap = F.substring(text, seen["at"] + 1, F.greatest(x["start"] - seen["at"], F.lit(0)))
+        mask = F.repeat(F.lit(MASK), F.greatest(x["end"] - F.greatest(x["start"], seen["at"]), F.lit(0)))
+        return F.struct(F.greatest(seen["at"], x["end"]).alias("at"), F.concat(seen["out"], gap, mask).alias("out"))
 
-    return F.transform(every, around)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    masked = F.aggregate(spans, start, step, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, masked).otherwise(text)
 
 
-def _mentions(base: DataFrame) -> DataFrame:
-    """A row for each word near an entity: row key, entity, word, and the word's place."""
-    one = base.withColumn("x", F.explode("_near")).select("_id", "_text_hash", *KINDS, "x.*")
-    one = one.withColumn("word", F.explode(matches(F.col("around"), WORD, lambda whole, _: F.lit(True))))
-    start, end = F.col("low") + F.col("word.start"), F.col("low") + F.col("word.end")
-    # Words that the ends of the surroundings cut are not known in whole.
-    whole = ((F.col("word.start") > 0) | (F.col("low") == 0)) & ((end < F.col("high")) | F.col("last"))
-    other = ~overlaps(F.concat(*KINDS), start, end)
-    return one.where(whole & other).select("_id", "_text_hash", "kind", "entity", F.lower("word.text").alias("term"), start.alias("start"), end.alias("end"))
+def _words(masked: Column) -> Column:
+    """The different words of a masked text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(masked, F.lit(WORD), F.lit(0)), F.lower))
 
 
-def disclosures(mentions: DataFrame, entities: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+def disclosures(base: DataFrame) -> DataFrame:
     """(kind, entity, term, share): the words that disclose an entity, with the share of its information.
 
-    ``entities`` has kind, entity and n_entity, its number of documents.
+    ``base`` has a row for each document: the base matches, ``_terms`` (its words) and ``_text_hash``.
     """
-    near = mentions.select("kind", "entity", "term", "_text_hash", "_id").distinct()
-    texts = near.groupBy("kind", "entity", "term", "_text_hash").agg(F.count(F.lit(1)).alias("n"))
-    pairs = texts.groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n_texts"), F.sum("n").alias("n_both"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text_col, F.lit(""))), F.lit(WORD), F.lit(0)))).alias("term"))
-    common = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = float(docs.count())
-    joined = pairs.where(F.col("n_texts") >= SUPPORT).join(common, "term").join(entities, ["kind", "entity"])
+    total = float(base.count())
+    common = base.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    listed = F.array_distinct(F.concat(*(F.transform(F.col(k), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["text"].alias("entity"))) for k in KINDS)))
+    # Entities and words follow from the text: a text of many documents is one row, with their number.
+    texts = base.select("_text_hash", "_terms", listed.alias("listed")).where(F.size("listed") > 0)
+    texts = texts.groupBy("_text_hash").agg(F.count(F.lit(1)).alias("n"), F.first("_terms").alias("_terms"), F.first("listed").alias("listed"))
+    holds = texts.select("_text_hash", "n", F.explode("listed").alias("x")).select("_text_hash", "n", "x.*")
+    entities = holds.groupBy("kind", "entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= SUPPORT).drop("n_texts")
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+    # As n(term, entity) <= n(entity), a word of more documents than this discloses less than GENERALISE.
+    bound = lambda n: F.pow(F.lit(total), F.lit(1 - GENERALISE)) * F.pow(n, F.lit(GENERALISE)) * F.lit(1 + 1e-9)
+    rare = common.where((F.col("n_term") >= SUPPORT) & (F.col("n_term") <= bound(F.lit(float(most)))))
+    terms = texts.select("_text_hash", F.explode("_terms").alias("term")).join(rare, "term")
+    both = terms.join(holds.join(entities, ["kind", "entity"]), "_text_hash").where(F.col("n_term") <= bound(F.col("n_entity")))
+    pairs = both.groupBy("kind", "entity", "term", "n_term", "n_entity").agg(F.count(F.lit(1)).alias("n_texts"), F.sum("n").alias("n_both"))
     own = F.log2(F.lit(total) / F.col("n_entity"))
-    both = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    share = F.when(own > 0, both / own).otherwise(F.lit(0.0))
-    return joined.withColumn("share", share).where(F.col("share") >= GENERALISE).select("kind", "entity", "term", "share")
+    shared = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    share = F.when(own > 0, shared / own).otherwise(F.lit(0.0))
+    return pairs.where(F.col("n_texts") >= SUPPORT).withColumn("share", share).where(F.col("share") >= GENERALISE).select("kind", "entity", "term", "share")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,22 +113,26 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.drop("personal").withColumns({"_id": F.col(id_col), "_text_hash": F.xxhash64(text)})
-    found = base_matches(keyed, text_col)
-    # The patterns pass over the texts once; what follows reads their small results, in the shared folder.
+    keyed = docs.drop("personal").withColumn("_text_hash", F.xxhash64(text))
+    # The patterns pass over the texts once; what follows reads their results, in the shared folder.
     path = work_dir(spark, "pii")
-    found.withColumn("_near", _surroundings(text)).drop(text_col).write.parquet(path)
-    base = spark.read.parquet(path)
-    mentions = _mentions(base)
-    listed = F.array_distinct(F.concat(*(F.transform(F.col(k), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["text"].alias("entity"))) for k in KINDS)))
-    entities = base.select(F.explode(listed).alias("x")).groupBy("x.kind", "x.entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    disclosed = disclosures(mentions, entities, docs, text_col)
-    gone = F.col("share") >= REMOVE
-    span = F.struct("start", F.when(gone, 5).otherwise(4).alias("rank"), "end", F.when(gone, "remove").otherwise("general").alias("kind"))
-    spans = mentions.join(disclosed, ["kind", "entity", "term"]).groupBy(F.col("_id").alias("_other"), F.col("_text_hash").alias("_other_hash")).agg(F.collect_set(span).alias("_terms"))
-    same = F.col("_id").eqNullSafe(F.col("_other")) & (F.col("_text_hash") == F.col("_other_hash"))
-    every = F.concat(*(as_spans(F.col(k), k, i) for i, k in enumerate(KINDS)), F.coalesce(F.col("_terms").cast(SPANS), F.array().cast(SPANS)))
-    return base.join(spans, same, "left").withColumn("personal", F.array_sort(every)).drop("_id", "_other", "_other_hash", "_terms", "_near")
+    base_matches(keyed, text_col).withColumn("_terms", _words(_masked(text))).drop(text_col).write.parquet(f"{path}/base")
+    base = spark.read.parquet(f"{path}/base")
+    gone = disclosures(base).groupBy("term").agg((F.max("share") >= REMOVE).alias("gone"))
+    marked = base.select("_text_hash", F.explode("_terms").alias("term")).join(gone, "term").groupBy("_text_hash")
+    marked.agg(F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_gone"), F.collect_set("term").alias("_known")).write.parquet(f"{path}/marked")
+    # Only texts that hold such words are read again, for the places of each.
+    again = keyed.select("_text_hash", text.alias("_text")).join(spark.read.parquet(f"{path}/marked"), "_text_hash")
+    again = base_matches(again, "_text").withColumn("_found", matches(_masked(F.col("_text")), WORD, lambda whole, _: F.array_contains("_known", F.lower(whole))))
+
+    def span(x: Column) -> Column:
+        gone = F.array_contains("_gone", F.lower(x["text"]))
+        return F.struct(x["start"], F.when(gone, 5).otherwise(4).alias("rank"), x["end"], F.when(gone, "remove").otherwise("general").alias("kind"))
+
+    spans = again.select(F.col("_text_hash").alias("_other_hash"), F.transform("_found", span).cast(SPANS).alias("_spans"))
+    spans = spans.groupBy("_other_hash").agg(F.first("_spans").alias("_spans"))
+    every = F.concat(*(as_spans(F.col(k), k, i) for i, k in enumerate(KINDS)), F.coalesce("_spans", F.array().cast(SPANS)))
+    return base.join(spans, F.col("_text_hash") == F.col("_other_hash"), "left").withColumn("personal", F.array_sort(every)).drop("_other_hash", "_spans", "_terms")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
