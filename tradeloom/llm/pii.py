@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.session import work_dir
 
+from .chunks import short_lived_shuffles
 from .spans import SPANS, as_spans, matches
 
 #: The kinds in their order and their patterns. Runs are taken whole and never given back.
@@ -80,17 +81,19 @@ def _words(masked: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(masked, F.lit(WORD), F.lit(0)), F.lower))
 
 
-def disclosures(base: DataFrame) -> DataFrame:
+def disclosures(base: DataFrame, path: str) -> DataFrame:
     """(kind, entity, term, share): the words that disclose an entity, with the share of its information.
 
     ``base`` has a row for each document: the base matches, ``_terms`` (its words) and ``_text_hash``.
+    Texts with entities are written under ``path``.
     """
     total = float(base.count())
     common = base.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     listed = F.array_distinct(F.concat(*(F.transform(F.col(k), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["text"].alias("entity"))) for k in KINDS)))
     # Entities and words follow from the text: a text of many documents is one row, with their number.
     texts = base.select("_text_hash", "_terms", listed.alias("listed")).where(F.size("listed") > 0)
-    texts = texts.groupBy("_text_hash").agg(F.count(F.lit(1)).alias("n"), F.first("_terms").alias("_terms"), F.first("listed").alias("listed"))
+    texts.groupBy("_text_hash").agg(F.count(F.lit(1)).alias("n"), F.first("_terms").alias("_terms"), F.first("listed").alias("listed")).write.parquet(f"{path}/texts")
+    texts = base.sparkSession.read.parquet(f"{path}/texts")
     holds = texts.select("_text_hash", "n", F.explode("listed").alias("x")).select("_text_hash", "n", "x.*")
     entities = holds.groupBy("kind", "entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= SUPPORT).drop("n_texts")
     most = entities.agg(F.max("n_entity")).first()[0] or 0
@@ -118,9 +121,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     path = work_dir(spark, "pii")
     base_matches(keyed, text_col).withColumn("_terms", _words(_masked(text))).drop(text_col).write.parquet(f"{path}/base")
     base = spark.read.parquet(f"{path}/base")
-    gone = disclosures(base).groupBy("term").agg((F.max("share") >= REMOVE).alias("gone"))
-    marked = base.select("_text_hash", F.explode("_terms").alias("term")).join(gone, "term").groupBy("_text_hash")
-    marked.agg(F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_gone"), F.collect_set("term").alias("_known")).write.parquet(f"{path}/marked")
+    # Each step is written, so that its shuffle files go, and few terms are known to be few when they are joined.
+    with short_lived_shuffles(spark):
+        disclosures(base, path).groupBy("term").agg((F.max("share") >= REMOVE).alias("gone")).write.parquet(f"{path}/gone")
+        marked = base.select("_text_hash", F.explode("_terms").alias("term")).join(spark.read.parquet(f"{path}/gone"), "term").groupBy("_text_hash")
+        marked.agg(F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_gone"), F.collect_set("term").alias("_known")).write.parquet(f"{path}/marked")
     # Only texts that hold such words are read again, for the places of each.
     again = keyed.select("_text_hash", text.alias("_text")).join(spark.read.parquet(f"{path}/marked"), "_text_hash")
     again = base_matches(again, "_text").withColumn("_found", matches(_masked(F.col("_text")), WORD, lambda whole, _: F.array_contains("_known", F.lower(whole))))
