@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, jaccard, lm_scores, neighbours, pii, secrets, substrings, suffixes, toxicity
+from . import bpe, decontamination, jaccard, lexical, lm_scores, neighbours, pieces, pii, secrets, substrings, suffixes, toxicity
 from .spans import joined
 
 
@@ -16,6 +16,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces_path() -> str:
+    """The piece vocabulary of the registered queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -184,6 +191,39 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, pieces_path()).drop("text"), pieces_path())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT CAST(count(*) FILTER (WHERE len(words) > 0) AS BIGINT) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_terms FROM w),
+m AS (SELECT doc_id, words, 100 - 90 + ((90 * CAST(len(words) AS BIGINT) * n_docs) // n_terms) AS m FROM w, s WHERE len(words) > 0),
+f AS (SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(words) AS term FROM m) GROUP BY ALL),
+k AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+r AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN k USING (term) GROUP BY item_id, doc_id),
+t AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM r WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM t WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_substrings": op1_substrings,
     "op2_lm_scores": op2_lm_scores,
@@ -195,6 +235,8 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_jaccard": op9_jaccard,
     "op10_decontamination": op10_decontamination,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_lexical": op13_lexical,
 }
 
 ORACLE = {
@@ -202,4 +244,5 @@ ORACLE = {
     "op2_lm_scores": OP2_SQL,
     "op9_jaccard": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op13_lexical": OP13_SQL,
 }
