@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, jaccard, lexical, lm_scores, neighbours, pieces, pii, secrets, substrings, suffixes, toxicity
+from . import bpe, conversations, decontamination, jaccard, lexical, lm_scores, neighbours, pieces, pii, secrets, substrings, suffixes, toxicity
 from .spans import joined
 
 
@@ -191,6 +191,20 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(conversations.damage(turns))
+    every = turns.select(F.struct("conv_id").alias("conv")).distinct()
+    out = every.join(repair.summary(), "conv", "left").join(conversations.digests(repair.repaired()), "conv", "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        "conv.conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.decode(pieces.encode(docs, pieces_path()).drop("text"), pieces_path())
@@ -235,6 +249,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_jaccard": op9_jaccard,
     "op10_decontamination": op10_decontamination,
+    "op11_conversations": op11_conversations,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_lexical": op13_lexical,
 }
