@@ -5,11 +5,13 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
+from oracle import differences
 from pyspark.sql import functions as F
 
 from tradeloom.llm import conversations
-from tradeloom.llm.queries import op11_conversations
+from tradeloom.llm.queries import OP11_SQL, op11_conversations
 
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 FOLDER = "/root/testdata/sf0.01"
@@ -110,6 +112,14 @@ def test_nulls_ties_repeats_and_clashing_names(spark, tmp_path):
     assert run(spark, turns, tmp_path, **names) == plain(turns)
 
 
+def test_sql_agrees_on_nulls_ties_and_repeats(spark, tmp_path):
+    turns = talk(random.Random(3), 60, ("system", "user", "assistant", "tool", None)) + [(None, None, "user", "a."), (None, 1, "assistant", None), (None, 2, None, "x.")]
+    run(spark, turns, tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert differences(op11_conversations(spark, str(tmp_path)), con, OP11_SQL) == []
+
+
 def test_one_conversation_with_a_third_of_all_rows(spark, tmp_path):
     rng = random.Random(1)
     turns = talk(rng, 40) + [(1000, t, ("user", "assistant")[t % 2], f"{t}." if t % 50 else "again.") for t in range(400)]

@@ -205,6 +205,64 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op11_sql() -> str:
+    """The edits by a recursion from the last row of each conversation: per state of the grammar (cost, audit, lines) of the best rest."""
+    wanted, after = ("user", "user", "assistant", "user"), (3, 3, 4, 3)  # by state: nothing yet, after s, after u, after a
+    kept = {1: {"s": 2, "u": 3}, 2: {"u": 3}, 3: {"a": 4}, 4: {"u": 3}}
+
+    def option(cost: str, letter: str, line: str, rest: str) -> str:
+        return f"{{'c': {cost} + {rest}.c, 'a': '{letter}' || {rest}.a, 'l': {line}{rest}.l}}"
+
+    base = []
+    for q in range(1, 5):
+        options = [option("2", "D", "", f"n[{q}]")]
+        line = f"['{wanted[q - 1]}:' || text] || "
+        options.append(f"CASE WHEN NOT gone THEN {option('1 + more', 'R', line, f'n[{after[q - 1]}]')} END")
+        line = "[role || ':' || text] || "
+        options += [f"CASE WHEN NOT gone AND letter = '{x}' THEN {option('more', 'K', line, f'n[{to}]')} END" for x, to in kept[q].items()]
+        base.append(f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]")
+    user, assistant = option("5", "I", "['user:'] || ", "b[3]"), option("5", "I", "['assistant:'] || ", "b[4]")
+    both = "{'c': 10 + b[4].c, 'a': 'II' || b[4].a, 'l': ['user:', 'assistant:'] || b[4].l}"
+    closed = [f"list_sort([b[1], {user}, {both}])[1]", f"list_sort([b[2], {user}, {both}])[1]", f"list_sort([b[3], {assistant}])[1]", f"list_sort([b[4], {user}])[1]"]
+    end = "[{'c': 0::BIGINT, 'a': '', 'l': []::VARCHAR[]}, {'c': 10, 'a': 'II', 'l': ['user:', 'assistant:']}, {'c': 5, 'a': 'I', 'l': ['assistant:']}, {'c': 0, 'a': '', 'l': []}]"
+    return rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(range(1, len(k) + 1), lambda i: [CAST(ord(k[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) % 20 AS h FROM k),
+d AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE h WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) FROM h)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS unfinished, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'x' END AS letter,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o),
+g AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND unfinished AS truncated, 5 * CAST(unfinished AS BIGINT) AS more FROM f),
+c AS (
+  SELECT conv_id, count(*) AS n_rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+r AS (
+  SELECT conv_id, n_rows + 1 AS i, {end} AS n FROM c
+  UNION ALL
+  SELECT conv_id, i, [{', '.join(closed)}] FROM (
+    SELECT g.conv_id, g.i, [{', '.join(base)}] AS b FROM r JOIN g ON g.conv_id IS NOT DISTINCT FROM r.conv_id AND g.i = r.i - 1)),
+e AS (SELECT c.*, n[1].c AS cost, n[1].a AS audit, array_to_string(n[1].l, chr(10)) AS repaired FROM c JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.i = 1),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT every.conv_id, {', '.join(f'CAST(coalesce({x}, 0) AS BIGINT) AS {x}' for x in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal', 'cost'))},
+       coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM every LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+
+OP11_SQL = _op11_sql()
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.decode(pieces.encode(docs, pieces_path()).drop("text"), pieces_path())
@@ -259,5 +317,6 @@ ORACLE = {
     "op2_lm_scores": OP2_SQL,
     "op9_jaccard": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_conversations": OP11_SQL,
     "op13_lexical": OP13_SQL,
 }
