@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..plans import quality
 from ..session import work_dir
-from ..sources.files import Manifest, read_table
+from ..sources.files import Manifest, read_inferred, read_table
 from ..sources.specs import ORDER_ITEMS, TABLES
 from ..sources.star import canonical
 from ..warehouse import catalog, loading, monitoring
@@ -50,6 +50,17 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path, ORDER_ITEMS)
 
 
+def _csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks, written to one CSV file and read back in splits."""
+    path = work_dir(spark, "csv")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text")
+    whole = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.coalesce(1).write.options(**whole).csv(path)
+    back = read_inferred(spark, path, multi_line=True)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.length(text).alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
 def _load_all(spark: SparkSession, folder: str) -> DataFrame:
     """All files but the sellers, whose absence must not stop the rest."""
     source, prefix = work_dir(spark, "raw"), _layers(spark)
@@ -84,7 +95,7 @@ def _stored(spark: SparkSession, folder: str, names: tuple[str, ...]) -> str:
 def _refresh_all(spark: SparkSession, folder: str) -> DataFrame:
     prefix = _stored(spark, folder, STORED)
     t = catalog.load_tables(spark, f"{prefix}raw_data")
-    return catalog.refresh_all(spark, t, f"{prefix}analytics")
+    return catalog.refresh_all(spark, t, f"{prefix}analytics").select("name", "row_count")
 
 
 def _analyze_schema(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,6 +131,7 @@ def _stored_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "csv_round_trip": _csv_round_trip,
+    "csv_line_breaks": _csv_line_breaks,
     "load_all_summary": _load_all,
     "manifest_load": _manifest_load,
     "refresh_all": _refresh_all,
@@ -146,6 +158,9 @@ def _oracle() -> dict[str, str]:
         "csv_round_trip": with_star("""
             SELECT CAST(order_id AS VARCHAR) AS order_id, order_item_id, CAST(product_id AS VARCHAR) AS product_id,
                    CAST(seller_id AS VARCHAR) AS seller_id, shipping_limit_date, price, freight_value FROM c_items"""),
+        "csv_line_breaks": """
+            SELECT doc_id, nullif(lang, '') AS lang, CAST(length(coalesce(text, '')) AS INTEGER) AS n_chars, sha256(coalesce(text, '')) AS text_sha256
+            FROM documents""",
         "load_all_summary": with_star(
             "\nUNION ALL\n".join(
                 [*[_loaded(t, c) for t, c in loaded.items()], "SELECT 'sellers', 'FAILED', NULL"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import small_frame
 from ..sources.files import BAD_ROW, Manifest, discover, locate, read_entry, read_table
-from ..sources.specs import TABLES, TableSpec
+from ..sources.specs import TABLES, Layout, TableSpec
 from .catalog import quoted, write_table
 from .monitoring import append_load_history
 
@@ -33,6 +33,16 @@ def _attempt(spark: SparkSession, schema: str, table: str, load: Callable[[], in
     return (table, schema, status, rows, error, round(time.monotonic() - start, 2), bad)
 
 
+def _store(df: DataFrame, schema: str, table: str, layout: Layout | None = None) -> int | None:
+    """Write a table; the number of its bad rows, counted while it is written, if the source can have any."""
+    if BAD_ROW not in df.columns:
+        return write_table(df, schema, table, layout)
+    seen = Observation()
+    df = df.observe(seen, F.count_if(F.col(BAD_ROW).isNotNull()).alias("bad"))
+    write_table(df.drop(BAD_ROW), schema, table, layout)
+    return seen.get["bad"]
+
+
 def load_all(
     spark: SparkSession,
     folder: str,
@@ -50,13 +60,10 @@ def load_all(
         own = locate(paths, spec)
         if not own:
             raise FileNotFoundError(f"no file like {spec.file_pattern}")
-        # Every matching file, by column name. Bad rows are counted while the table is written.
+        # Every matching file, by column name.
         parts = [read_table(spark, path, spec, keep_bad_rows=True) for path in own]
-        seen = Observation()
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        df = df.observe(seen, F.count_if(F.col(BAD_ROW).isNotNull()).alias("bad"))
-        write_table(df.drop(BAD_ROW), schema, spec.name, spec.layout)
-        return seen.get["bad"]
+        return _store(df, schema, spec.name, spec.layout)
 
     # Loads are independent jobs; running a few at a time fills the executors a small table leaves idle.
     with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
@@ -76,8 +83,7 @@ def load_manifest(spark: SparkSession, manifest: Manifest, root: str = "", schem
     """Full refresh of every manifest entry into its target database; one summary row each."""
     target = schema or manifest.target_schema
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(target)}")
-    rows = [
-        _attempt(spark, target, e.table, lambda e=e: write_table(read_entry(spark, e, root), target, e.table))
-        for e in manifest.entries
-    ]
+    load = lambda e: _attempt(spark, target, e.table, lambda: _store(read_entry(spark, e, root), target, e.table))
+    with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
+        rows = list(pool.map(load, manifest.entries))
     return small_frame(spark, rows, SUMMARY_SCHEMA)
