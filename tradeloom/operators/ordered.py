@@ -2,98 +2,108 @@
 
 from __future__ import annotations
 
+import math
 import operator
+import struct
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_K = 4000
-TASKS_PER_MERGE = 1000
+from ..session import small_frame
 
+#: Counts of one pass and digit; also the most rows that a last pass counts by value.
+DIGIT_BITS = 12
+DIGITS = 1 << DIGIT_BITS
+KEY_BITS = 64
 
-def _rank_error(k: int) -> float:
-    """Rank error of a KLL sketch as a share of the rows, at 99% confidence."""
-    return 2.296 / k**0.9021
 
+def order_key(value: Column) -> Column:
+    """The bits of a DOUBLE as a BIGINT that sorts as the value does; -0.0 and 0.0 are one.
 
-def _sketch_quantiles(known: DataFrame, ranks: list[float], k: int) -> Column:
-    """Approximate quantiles of ``_v`` as one array.
-
-    The sketches of all tasks would be too much for a single merge, so blocks of a thousand
-    tasks merge theirs first.
+    A positive double's bits grow with it. They are its exponent, a logarithm put right where rounding missed it,
+    and its fraction, which a division by a power of two leaves exact. Negative values are the negative keys.
     """
-    blocks = known.select(
-        F.col("_v").cast("double").alias("_v"), F.floor(F.spark_partition_id() / TASKS_PER_MERGE).alias("_block")
-    )
-    merged = (
-        blocks.groupBy("_block")
-        .agg(F.kll_sketch_agg_double("_v", k).alias("_sketch"))
-        .agg(F.kll_merge_agg_double("_sketch", k).alias("_sketch"))
-    )
-    wanted = F.array(*[F.lit(float(r)) for r in ranks])
-    filled = F.kll_sketch_get_n_double("_sketch") > 0
-    return merged.select(F.when(filled, F.kll_sketch_get_quantile_double("_sketch", wanted))).scalar()
+    size = F.abs(value)
+    tiny = size < 2.0**-1022
+    guess = F.floor(F.log2(size))
+    guess = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
+    guess = F.greatest(F.least(guess, F.lit(1023)), F.lit(-1022))
+    fraction = ((size / F.pow(F.lit(2.0), guess) - 1) * 2.0**52).cast("bigint")
+    normal = F.shiftleft(guess.cast("bigint") + 1023, 52) + fraction
+    bits = F.when(size == 0, F.lit(0)).when(size == float("inf"), F.lit(2047 << 52)).when(tiny, (size * 2.0**537 * 2.0**537).cast("bigint")).otherwise(normal)
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def from_order_key(key: int) -> float:
+    """The value of a key."""
+    size = struct.unpack(">d", struct.pack(">q", abs(key)))[0]
+    return -size if key < 0 else size
+
 
+def _select(known: DataFrame, wanted: Callable[[int], set[int]], fetch: int) -> tuple[int, dict[int, int]]:
+    """The number of rows, and the key at each wanted place (from 0) in ascending order.
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float], k: int = SKETCH_K) -> DataFrame:
+    A pass counts the next digit of the keys that share the leading digits of a wanted place, and each place
+    descends into the digit that holds it. Once those hold no more than ``fetch`` rows, the rest is counted by
+    value. At most six passes; none sorts or shuffles more than counts.
+    """
+    total, shift, before, held = None, KEY_BITS, KEY_BITS, 0
+    at: dict[int, int] = {}  # place wanted -> place among the rows with its leading digits
+    leading: dict[int, int] = {}  # place wanted -> those digits
+    while True:
+        shift = max(shift - DIGIT_BITS, 0)
+        rows = known
+        if total is not None:
+            rows = known.where(F.shiftright("_k", before).isin(sorted(set(leading.values()))))
+            if held <= fetch:
+                shift = 0
+        counted = rows.groupBy(F.shiftright("_k", shift).alias("digits")).count().collect()
+        counts = sorted((r["digits"], r["count"]) for r in counted)
+        if total is None:
+            total = sum(n for _, n in counts)
+            at = {p: p for p in wanted(total)}
+            if not total:
+                return 0, {}
+        for place, rest in at.items():
+            own = [(d, n) for d, n in counts if place not in leading or d >> (before - shift) == leading[place]]
+            for digits, n in own:
+                if rest < n:
+                    break
+                rest -= n
+            at[place], leading[place] = rest, digits
+        if shift == 0:
+            return total, leading
+        sizes = dict(counts)
+        held, before = sum(sizes[d] for d in set(leading.values())), shift
+
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float], fetch: int = DIGITS) -> DataFrame:
     """One row of linearly interpolated quantiles, one DOUBLE column per name. NULL and NaN are
     left out.
 
-    Same definition as SQL PERCENTILE_CONT, which gathers the column in one task. Here a sketch
-    first brackets each quantile, five times as wide as its error. The second scan counts the
-    rows of each stretch between brackets as one group and keeps single values only inside a
-    bracket, so the order statistics are picked by their exact row number from a sliver of the
-    data. Equal values are merged before the shuffle. Should a bracket ever miss, the job fails
-    rather than return another value.
+    Same definition as SQL PERCENTILE_CONT, which gathers the column in one task. Here the order statistics are
+    selected digit by digit on the 64 bits of the values: every pass scans the column and brings at most 4096 counts
+    for each wanted place to the driver. No task holds more than its split, whatever the values, and however many
+    rows are equal. The passes run when this is called.
     """
-    margin = 5 * _rank_error(k)
-    edges: list[tuple[float, Callable[[Column, Column], Column]]] = []
-    for p in sorted(probabilities.values()):
-        edges += [(max(p - margin, 0.0), operator.ge), (min(p + margin, 1.0), operator.gt)]
-    c = F.col(value)
-    known = df.where(c.isNotNull() & ~F.isnan(c.cast("double"))).select(c.alias("_v"))
-    held = known.withColumn("_edges", _sketch_quantiles(known, [p for p, _ in edges], k))
-    # The number of edges passed grows with the value. Odd steps of a pair are inside a bracket.
-    passed = [
-        F.coalesce(test(F.col("_v").cast("double"), F.get("_edges", F.lit(i))).cast("int"), F.lit(0))
-        for i, (_, test) in enumerate(edges)
-    ]
-    inside = reduce(operator.or_, [(lo == 1) & (hi == 0) for lo, hi in zip(passed[::2], passed[1::2], strict=True)])
-    counts = (
-        held.select(reduce(operator.add, passed).alias("_step"), F.when(inside, F.col("_v")).alias("_v"))
-        .groupBy("_step", "_v")
-        .agg(F.count("*").alias("_n"))
-    )
-    # At most one row per step, so the unpartitioned windows and the broadcast are bounded.
-    earlier = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        counts.groupBy("_step")
-        .agg(F.sum("_n").alias("_rows"))
-        .select(
-            "_step",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_carried"),
-            F.sum("_rows").over(Window.partitionBy()).alias("_total"),
-        )
-    )
-    within = Window.partitionBy("_step").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = (
-        counts.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(F.broadcast(carried), "_step")
-        .withColumn("_before", F.col("_carried") + F.col("_inside"))
-    )
-
-    def at_row(row: Column) -> Column:
-        here = (F.col("_before") <= row) & (row < F.col("_before") + F.col("_n"))
-        return F.max(F.when(here, F.coalesce("_v", F.raise_error(F.lit("quantile outside its bracket")))))
-
-    columns = []
-    for name, p in probabilities.items():
-        at = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
-        low, high = at_row(F.floor(at)).cast("double"), at_row(F.ceil(at)).cast("double")
-        columns.append((low + F.max(at - F.floor(at)) * (high - low)).alias(name))
-    return ordered.agg(*columns)
+    c = F.col(value).cast("double")
+    known = df.where(F.col(value).isNotNull() & ~F.isnan(c)).select(order_key(c).alias("_k"))
+
+    def places(total: int) -> dict[str, tuple[int, int, float]]:
+        found = {}
+        for name, p in probabilities.items():
+            at = float(p) * (total - 1)
+            found[name] = (math.floor(at), math.ceil(at), at - math.floor(at))
+        return found
+
+    total, keys = _select(known, lambda n: {x for low, high, _ in places(n).values() for x in (low, high)} if n else set(), fetch)
+    row: list[float | None] = [None] * len(probabilities)
+    if total:
+        at = {place: from_order_key(key) for place, key in keys.items()}
+        row = [at[low] + part * (at[high] - at[low]) for low, high, part in places(total).values()]
+    return small_frame(df.sparkSession, [tuple(row)], ", ".join(f"`{name}` double" for name in probabilities))
 
 
 def with_previous(

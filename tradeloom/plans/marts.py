@@ -321,12 +321,13 @@ def _translation(t: Tables) -> DataFrame:
 
 
 def _first_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
-    return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(key).limit(rows)
+    """The first keys in the order of the view, where NULL comes first."""
+    return df.select(key).distinct().orderBy(key).limit(rows).select(F.struct(key).alias("_key"))
 
 
 def _restrict(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    # Spark broadcasts the keys if they are as few as those of a preview.
-    return df.join(keys, key, "left_semi")
+    # Spark broadcasts the keys if they are as few as those of a preview. Structs of NULL are equal.
+    return df.join(keys, F.struct(key) == F.col("_key"), "left_semi")
 
 
 # The refreshable datasets of the analytics layer and the views of the raw layer.
