@@ -126,18 +126,47 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         disclosures(base, path).groupBy("term").agg((F.max("share") >= REMOVE).alias("gone")).write.parquet(f"{path}/gone")
         marked = base.select("_text_hash", F.explode("_terms").alias("term")).join(spark.read.parquet(f"{path}/gone"), "term").groupBy("_text_hash")
         marked.agg(F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_gone"), F.collect_set("term").alias("_known")).write.parquet(f"{path}/marked")
-    # Only texts that hold such words are read again, for the places of each.
-    again = keyed.select("_text_hash", text.alias("_text")).join(spark.read.parquet(f"{path}/marked"), "_text_hash")
-    again = base_matches(again, "_text").withColumn("_found", matches(_masked(F.col("_text")), WORD, lambda whole, _: F.array_contains("_known", F.lower(whole))))
+        marked = spark.read.parquet(f"{path}/marked")
+        bits = _bits(marked)
+        # Only texts that hold such words are read again, for the places of each, and each text once.
+        again = _likely(keyed.select("_text_hash", text.alias("_text")), bits).where("_likely").groupBy("_text_hash").agg(F.first("_text").alias("_text"))
+        again = base_matches(again.join(marked, "_text_hash"), "_text")
+        again = again.withColumn("_found", matches(_masked(F.col("_text")), WORD, lambda whole, _: F.array_contains("_known", F.lower(whole))))
+
+        def span(x: Column) -> Column:
+            gone = F.array_contains("_gone", F.lower(x["text"]))
+            return F.struct(x["start"], F.when(gone, 5).otherwise(4).alias("rank"), x["end"], F.when(gone, "remove").otherwise("general").alias("kind"))
+
+        again.select(F.col("_text_hash").alias("_other_hash"), F.transform("_found", span).cast(SPANS).alias("_spans")).write.parquet(f"{path}/spans")
+    spans = spark.read.parquet(f"{path}/spans")
+    # Rows without such words stay where they are.
+    rows = _likely(base.drop("_terms"), bits)
+    some = rows.where("_likely").join(spans, F.col("_text_hash") == F.col("_other_hash"), "left").drop("_other_hash")
+    rest = rows.where("NOT _likely").withColumn("_spans", F.lit(None).cast(SPANS))
+    every = F.concat(*(as_spans(F.col(k), k, i) for i, k in enumerate(KINDS)), F.coalesce("_spans", F.array().cast(SPANS)))
+    return some.unionByName(rest).withColumn("personal", F.array_sort(every)).drop("_spans", "_likely")
 
-    def span(x: Column) -> Column:
-        gone = F.array_contains("_gone", F.lower(x["text"]))
-        return F.struct(x["start"], F.when(gone, 5).otherwise(4).alias("rank"), x["end"], F.when(gone, "remove").otherwise("general").alias("kind"))
 
-    spans = again.select(F.col("_text_hash").alias("_other_hash"), F.transform("_found", span).cast(SPANS).alias("_spans"))
-    spans = spans.groupBy("_other_hash").agg(F.first("_spans").alias("_spans"))
-    every = F.concat(*(as_spans(F.col(k), k, i) for i, k in enumerate(KINDS)), F.coalesce("_spans", F.array().cast(SPANS)))
-    return base.join(spans, F.col("_text_hash") == F.col("_other_hash"), "left").withColumn("personal", F.array_sort(every)).drop("_other_hash", "_spans", "_terms")
+#: A filter of 512 bitmaps of 32768 bits, 2 MB whatever the data. What passes it is joined exactly.
+BITMAPS, BITS = 512, 32768
+
+
+def _place(text_hash: Column) -> tuple[Column, Column]:
+    """The bitmap and the bit of a text."""
+    return F.pmod(text_hash, F.lit(BITMAPS)).alias("_map"), F.pmod(F.shiftrightunsigned(text_hash, 20), F.lit(BITS))
+
+
+def _bits(marked: DataFrame) -> DataFrame:
+    number, bit = _place(F.col("_text_hash"))
+    return marked.groupBy(number).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+
+
+def _likely(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """With ``_likely``: false only for texts that are surely not among the marked ones."""
+    number, bit = _place(F.col("_text_hash"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return rows.withColumn("_map", number).join(F.broadcast(bits), "_map", "left").withColumn("_likely", is_set).drop("_map", "_bits")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
