@@ -1,3 +1,4 @@
+import functools
 import re
 
 import public_tokenizers
@@ -5,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from test_jaccard import brute as classes
+import test_jaccard
 from tradeloom.llm import secrets, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,13 +38,14 @@ def hidden(text):
     return out + text[at:]
 
 
-def test_run_like_a_plain_version(spark):
+def test_run_like_a_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(test_jaccard, "shingles", functools.partial(test_jaccard.shingles, size=5))
     read = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
     docs = read("documents")
     # The trained score is the operator's own (its accuracy has a test); what follows is plain.
     kept = {r["doc_id"] for r in toxicity.score(docs, toxicity.train(docs, read("labels"))).where("score < 0.5").collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in kept]
-    firsts = {i for i, _, c in classes(rows) if i == c}
+    firsts = {i for i, _, c in test_jaccard.brute(rows, 80) if i == c}
     windows = set()
     for r in read("benchmark").collect():
         own = words(r["text"])

@@ -10,8 +10,8 @@ ones as well; any other shares a signature that is not empty. (k = 1 needs no sp
 signature, as equal sets are one node.) No link is lost.
 
 Sets that share a signature are compared in full, but not all with all: first with one leader of each
-signature, the set with the most company. What is then in one component needs no further comparison. Of
-signatures that still span several, all pairs across components follow: as rows where a signature has up
+signature, the set with the most company, beginning with the leader of most signatures of a set. What is
+then in one component needs no further comparison. Of signatures that still span several, all pairs across components follow: as rows where a signature has up
 to ``MANY`` members, and else in blocks, where a task compares two blocks of members and returns no more
 links than members.
 
@@ -240,11 +240,20 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
     wanted = ranked.select(F.col("id").alias(id_col)).distinct()
     features = stored(_full_sets(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), size, id_col, text_col), "features")
 
-    # First everyone with the leader of each of its signatures.
+    # First everyone with one leader, that of most of its signatures; then with the others that are not in its component by then.
     leading = ranked.where("rank = 1").select("sign", F.col("id").alias("b"), F.col("size").alias("b_size"))
-    pairs = stored(_pairs(ranked.where("rank > 1").join(leading, "sign"), percent), "leader-pairs")
-    links = tied.unionByName(stored(_linked(pairs, features, percent), "leader-links"))
-    parts = components(spark, links, f"{path}/components-1")
+    led = _fitting(ranked.where("rank > 1").join(leading, "sign"), percent).groupBy("id", "b").agg(F.count(F.lit(1)).alias("n"))
+    led = stored(led, "led")
+    nearest = led.groupBy("id").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    nearest = stored(_sorted_pairs(nearest), "nearest-pairs")
+    links = stored(tied.unionByName(_linked(nearest, features, percent)), "nearest-links")
+    parts = components(spark, links, f"{path}/components-0")
+    pairs = stored(_sorted_pairs(led), "leader-pairs")
+    others = _apart(pairs.join(nearest, ["a", "b"], "left_anti"), parts)
+    more = stored(_linked(stored(others, "other-pairs"), features, percent), "other-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        parts = components(spark, links, f"{path}/components-1")
     # Then what signatures that still span several components hold: all pairs in them across components.
     spans = {"least": F.expr("min(component) OVER (PARTITION BY sign)"), "most": F.expr("max(component) OVER (PARTITION BY sign)"), "last": F.expr("max(rank) OVER (PARTITION BY sign)")}
     left = _labels(ranked, parts).withColumns(spans).where("least < most AND last > 2")
@@ -259,10 +268,26 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
     return parts if found.isEmpty() else components(spark, links.unionByName(found), f"{path}/components-2")
 
 
+def _fitting(joined: DataFrame, percent: int) -> DataFrame:
+    """The rows whose sizes allow a link."""
+    return joined.where(100 * F.least("size", "b_size") >= percent * F.greatest("size", "b_size"))
+
+
+def _sorted_pairs(found: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), the greater id first."""
+    return found.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+
+
 def _pairs(joined: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes allow a link."""
-    fit = joined.where(100 * F.least("size", "b_size") >= percent * F.greatest("size", "b_size"))
-    return fit.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+    return _sorted_pairs(_fitting(joined, percent))
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component."""
+    for name in ("a", "b"):
+        known = parts.select(F.col("id").alias(name), F.col("component").alias(f"{name}_part"))
+        pairs = pairs.join(known, name, "left").withColumn(f"{name}_part", F.coalesce(f"{name}_part", name))
+    return pairs.where("a_part <> b_part").select("a", "b")
 
 
 def _block_links(spark: SparkSession, many: DataFrame, features: DataFrame, path: str, percent: int) -> DataFrame:
