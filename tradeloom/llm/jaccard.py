@@ -39,6 +39,7 @@ SHINGLE = 3
 PERCENT = 90
 SPARE = 1
 MANY = 32
+PASSES = 4
 BLOCK = 256
 HASHER = Hasher(9)
 U64 = np.uint64
@@ -161,10 +162,18 @@ def _full_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, features binary")
 
 
-def _linked(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    both = pairs.join(features.select(F.col("id").alias("a"), F.col("features").alias("left")), "a")
-    both = both.join(features.select(F.col("id").alias("b"), F.col("features").alias("right")), "b")
+def _linked(spark: SparkSession, pairs: DataFrame, features: DataFrame, percent: int, path: str) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, found and written in passes over the pairs: a pass holds a part of their sets on disk."""
+    for k in range(PASSES):
+        own = lambda c: F.pmod(F.xxhash64(c), F.lit(PASSES)) == k  # noqa: E731, B023
+        _similar(pairs.where(own("a")), features.where(own("id")), features, percent).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _similar(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    wanted = pairs.select(F.col("b").alias("id")).distinct()
+    both = pairs.join(left.select(F.col("id").alias("a"), F.col("features").alias("left")), "a")
+    both = both.join(right.join(wanted, "id", "left_semi").select(F.col("id").alias("b"), F.col("features").alias("right")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,11 +255,11 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
     led = stored(led, "led")
     nearest = led.groupBy("id").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
     nearest = stored(_sorted_pairs(nearest), "nearest-pairs")
-    links = stored(tied.unionByName(_linked(nearest, features, percent)), "nearest-links")
+    links = tied.unionByName(_linked(spark, nearest, features, percent, f"{path}/nearest-links"))
     parts = components(spark, links, f"{path}/components-0")
     pairs = stored(_sorted_pairs(led), "leader-pairs")
     others = _apart(pairs.join(nearest, ["a", "b"], "left_anti"), parts)
-    more = stored(_linked(stored(others, "other-pairs"), features, percent), "other-links")
+    more = _linked(spark, stored(others, "other-pairs"), features, percent, f"{path}/other-links")
     if not more.isEmpty():
         links = links.unionByName(more)
         parts = components(spark, links, f"{path}/components-1")
@@ -261,7 +270,8 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
     few = left.where(F.col("last") <= MANY)
     others = few.select("sign", F.col("id").alias("b"), F.col("size").alias("b_size"), F.col("rank").alias("b_rank"), F.col("component").alias("b_component"))
     across = few.join(others, "sign").where("rank > b_rank AND b_rank > 1 AND component <> b_component")
-    found = stored(_linked(stored(_pairs(across, percent).join(pairs, ["a", "b"], "left_anti"), "pairs"), features, percent), "links")
+    across = stored(_pairs(across, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    found = _linked(spark, across, features, percent, f"{path}/links")
     many = left.where(F.col("last") > MANY)
     if not many.isEmpty():
         found = found.unionByName(stored(_block_links(spark, many, features, f"{path}/crowds", percent), "crowd-links"))
