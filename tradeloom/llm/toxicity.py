@@ -168,9 +168,13 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
     # At most labelled_rows ids and labels: a bounded broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>").toArrow()
-    columns = [rows.column(c).to_pylist() if c == "toxic" else rows.column(c).combine_chunks() for c in ("toxic", "buckets", "counts")]
-    return fit([(int(t == 1), b.values.to_numpy(), c.values.to_numpy()) for t, b, c in zip(columns[0], columns[1], columns[2], strict=True)])
+    # The Arrow table goes before the fit begins.
+    return fit(_local(texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>").toArrow()))
+
+
+def _local(table: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    buckets, counts = (table.column(c).combine_chunks() for c in ("buckets", "counts"))
+    return [(int(t == 1), b.values.to_numpy(), c.values.to_numpy()) for t, b, c in zip(table.column("toxic").to_pylist(), buckets, counts, strict=True)]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
