@@ -7,7 +7,8 @@ benchmark with more windows is scanned in several passes over the documents, eac
 hash range, and what the passes hit is put together by document.
 
 Null and empty texts have no words and hit nothing; null and wordless benchmark items have no window.
-Repeated document rows are judged one by one, and repeated items count once in ``items``. Other columns
+Windows of an item with a null id count as hit, but add no name to ``items``. Repeated document rows are
+judged one by one, and repeated items count once in ``items``. Other columns
 of the documents are kept; the columns added here replace columns of the same name.
 """
 
@@ -58,7 +59,7 @@ def _windows_of_items(n: int):
 def benchmark_windows(benchmark: DataFrame, n: int = N, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct windows of the benchmark with the items that have them."""
     items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    windows = items.where("item IS NOT NULL").mapInArrow(_windows_of_items(n), "hash long, size int, words binary, item string")
+    windows = items.mapInArrow(_windows_of_items(n), "hash long, size int, words binary, item string")
     return windows.groupBy("hash", "size", "words").agg(F.collect_set("item").alias("items"))
 
 
@@ -79,7 +80,7 @@ class _Lookup:
             windows = HASHER.windows(hashes, size)
             at = np.minimum(np.searchsorted(known, windows), len(known) - 1)
             for i in np.flatnonzero((known[at] == windows) & words.within(size)).tolist():
-                if items := self.known[size].get(words.text(i, i + size)):
+                if (items := self.known[size].get(words.text(i, i + size))) is not None:
                     yield i, size, items
 
 
