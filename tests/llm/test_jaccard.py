@@ -128,3 +128,18 @@ def test_similar_sets_share_a_signature():
         row, feature = np.repeat([0, 1], [len(s) for s in sets]), np.concatenate(sets)
         signer, sign, _ = jaccard._signatures(row, feature, 2, 90)
         assert set(sign[signer == 0].tolist()) & set(sign[signer == 1].tolist())
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (0, 1, 5, 31, 32, 33, 300, 5000)]
+    sets += [np.sort(np.r_[s[: len(s) * 9 // 10], rng.integers(0, 1 << 63, len(s) // 10 + 1).astype(np.uint64)]) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    packed, at = jaccard._sketches(row, np.concatenate(sets), len(sets))
+    own = [packed[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    for s, x in zip(sets, own, strict=True):
+        assert len(x) >= max(8, len(s) / 4) and 8 * len(x) <= max(64, 4 * len(s))
+        for t, y in zip(sets, own, strict=True):
+            length = min(len(x), len(y))
+            apart = int(np.bitwise_count(jaccard._folded(x, length) ^ jaccard._folded(y, length)).sum())
+            assert apart <= len(np.setxor1d(s, t)) and (apart - len(np.setxor1d(s, t))) % 2 == 0

@@ -9,12 +9,16 @@ signatures, one for each pair of parts. A set that has more empty pairs than one
 ones as well; any other shares a signature that is not empty. (k = 1 needs no spare group; k = 0 needs no
 signature, as equal sets are one node.) No link is lost.
 
-Sets that share a signature are compared in full, but not all with all: first with one leader of each
+Sets that share a signature are compared, but not all with all: first with one leader of each
 signature, the set with the most company, beginning with the leader of most signatures of a set. What is
 then in one component needs no further comparison. Of signatures that still span several, all pairs across components follow: as rows where a signature has up
 to ``MANY`` members, and else in blocks, where a task compares two blocks of members and returns no more
 links than members.
 
+A comparison begins with parity sketches: a set flips one of at least twice as many bits for each feature, so
+sketches differ in no more bits than sets do in features. Only sets whose sketches are near enough are read in
+full, and their exact intersection decides. A sketch has a sixteenth of the bytes of its set, or less.
+
 Shuffles go by id, set, or signature. Joins on signatures and leaders, which can be hot, have an exchange
 on either side. Steps write their results in the shared folder. Null ids link with nothing and are their
 own class (null); null, empty and wordless texts have empty sets and link with nothing; rows that repeat
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.session import work_dir
@@ -151,19 +155,67 @@ def signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_
     return known.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "sign long, id long, size int")
 
 
+def _sketches(row: np.ndarray, feature: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, edges) of the parity sketches of sorted rows' sets: twice to four times as many bits as features, a power of two."""
+    sizes = np.bincount(row, minlength=rows)
+    bits = np.maximum(64, 1 << (np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64) + 1))
+    begin = np.cumsum(bits) - bits
+    place = begin[row] + (mix(feature ^ U64(0xA0761D6478BD642F)) & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place, minlength=int(bits.sum())).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little"), np.r_[begin, bits.sum()] // 8
+
+
+def _folded(sketch: np.ndarray, length: int) -> np.ndarray:
+    """A sketch in fewer bytes: buckets are the low bits of hashes, so the halves add up."""
+    while len(sketch) > length:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
 def _full_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, sketch, features): each row's set, its size, and its sketch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
                 row, feature = _sets(block, size)
                 edge = np.searchsorted(row, np.arange(len(block) + 1))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(block)), pa.array([feature[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())], ["id", "features"])
+                packed, at = _sketches(row, feature, len(block))
+                cut = lambda values, edges: pa.array([values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(block)), pa.array(np.diff(edge), pa.int64()), cut(packed, at), cut(feature, edge)], ["id", "n", "sketch", "features"])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n long, sketch binary, features binary")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, features binary")
+def _near(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches do not rule a link out."""
+    side = lambda x: features.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
+            left, right = (batch.column(f"{x}_sketch") for x in ("a", "b"))
+            lengths = [np.diff(np.frombuffer(s.buffers()[1], np.int32)[s.offset : s.offset + len(s) + 1]) for s in (left, right)]
+            apart = np.zeros(len(sizes), np.int64)
+            alike = np.flatnonzero(lengths[0] == lengths[1])
+            if len(alike):
+                x, y = (np.frombuffer(b"".join(s.take(pa.array(alike)).to_pylist()), np.uint8) for s in (left, right))
+                ends = np.cumsum(lengths[0][alike])
+                apart[alike] = np.add.reduceat(np.bitwise_count(x ^ y).astype(np.int64), np.r_[0, ends[:-1]])
+            for i in np.flatnonzero(lengths[0] != lengths[1]).tolist():
+                x, y = (np.frombuffer(s[i].as_buffer(), np.uint8) for s in (left, right))
+                length = min(len(x), len(y))
+                apart[i] = np.bitwise_count(_folded(x, length) ^ _folded(y, length)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
+
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def _linked(spark: SparkSession, pairs: DataFrame, features: DataFrame, percent: int, path: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, found and written in passes over the pairs: a pass holds a part of their sets on disk."""
+    """The pairs (a, b) whose sets are similar enough: those with near sketches, compared in passes, each of which holds a part of their sets on disk."""
+    _near(pairs, features, percent).write.parquet(f"{path}-near")
+    pairs, features = spark.read.parquet(f"{path}-near"), features.select("id", "features")
     for k in range(PASSES):
         own = lambda c: F.pmod(F.xxhash64(c), F.lit(PASSES)) == k  # noqa: E731, B023
         _similar(pairs.where(own("a")), features.where(own("id")), features, percent).write.mode("append").parquet(path)
@@ -303,17 +355,40 @@ def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 def _block_links(spark: SparkSession, many: DataFrame, features: DataFrame, path: str, percent: int) -> DataFrame:
     """Links among the members of crowded signatures, compared block by block.
 
-    Signatures with members in common are one crowd. Its members are dealt to blocks of about ``BLOCK``,
+    Signatures of one level (the greatest band of their members) with members in common are one crowd, so
+    that its sizes lie in two bands. Its members are dealt to blocks of about ``BLOCK``,
     and a task compares two blocks; it returns links that connect what is connected, not all of them.
     """
-    first = many.groupBy("sign").agg(F.min("id").alias("b"))
-    crowds = components(spark, many.join(first, "sign").select(F.col("id").alias("a"), "b"), path)
-    members = _labels(many.select("id").distinct(), crowds).withColumnRenamed("component", "crowd")
-    sizes = members.groupBy("crowd").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # A member goes to the pairs of its own block with each block of its crowd.
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("id", "crowd", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    low = Bands(percent, many.agg(F.max("size")).first()[0]).low
+    banded = many.withColumn("band", F.size(F.filter(F.array(*map(F.lit, low)), lambda x: x <= F.col("size"))))
+    first = banded.groupBy("sign").agg(F.max("band").alias("level"), F.min("id").alias("b"))
+    node = lambda x: F.xxhash64(x, "level")
+    keyed = many.join(first, "sign").select("id", "b", "level", F.col("component").alias("part"))
+    crowds = components(spark, keyed.select(node("id").alias("a"), node("b").alias("b")), path)
+    members = _labels(keyed.select(F.col("id").alias("doc"), "part", node("id").alias("id")).distinct(), crowds)
+    members = members.select(F.col("doc").alias("id"), "part", F.col("component").alias("crowd"))
+
+    def near(key: tuple, table: pa.Table) -> pa.Table:
+        ids, part, n, block = (table.column(c).to_numpy() for c in ("id", "part", "n", "block"))
+        sketches = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("sketch")]
+        lengths = np.array([len(x) for x in sketches])
+        wanted = np.zeros(len(ids), bool)
+        for length in np.unique(lengths).tolist():
+            # Sets that may link have sketches of one length, or of one and its double.
+            some = np.flatnonzero((lengths == length) | (lengths == 2 * length))
+            packed = np.stack([_folded(sketches[i], length) for i in some]).view(np.uint64)
+            for i, x in enumerate(some.tolist()):
+                apart = np.bitwise_count(packed ^ packed[i]).sum(1, dtype=np.int64)
+                close = ((100 + percent) * apart <= (100 - percent) * (n[some] + n[x])) & (part[some] != part[x])
+                if key[1] != key[2]:
+                    close &= block[some] != block[x]
+                wanted[x] |= close.any()
+        return pa.table([pa.array(ids[wanted], pa.int64()), pa.array(np.full(wanted.sum(), key[0].as_py()), pa.int64())], ["id", "crowd"])
+
+    # First by sketches: who is near anyone of another component. Only these are read in full.
+    found = _in_blocks(members, features.select("id", "n", "sketch")).applyInArrow(near, "id long, crowd long").distinct()
+    found.write.parquet(f"{path}-near")
+    members = members.join(spark.read.parquet(f"{path}-near"), ["id", "crowd"], "left_semi")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
@@ -349,7 +424,20 @@ def _block_links(spark: SparkSession, many: DataFrame, features: DataFrame, path
                 out.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
         return pa.table([pa.array([int(x[i]) for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return dealt.join(features, "id").groupBy("crowd", "low", "high").applyInArrow(run, "a long, b long")
+    return _in_blocks(members, features.select("id", "features")).applyInArrow(run, "a long, b long")
+
+
+def _in_blocks(members: DataFrame, sets: DataFrame) -> GroupedData:
+    """Members of crowds in blocks of about ``BLOCK``: each goes to the pairs of its own block with each block of its crowd.
+
+    Pairs of blocks are dealt to all partitions whatever their bytes, as the work is in comparing.
+    """
+    sizes = members.groupBy("crowd").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("id", "part", "crowd", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    key, partitions = ["crowd", "low", "high"], int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.join(sets, "id").repartition(partitions, *key).groupBy(*key)
 
 
 def keep_first(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
