@@ -66,6 +66,47 @@ def column_counts(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).groupBy("column").agg(*counts)
 
 
+#: Registers of a sketch, as a power of two: 16 kB a column, a standard error of 0.8 %.
+SKETCH_BITS = 14
+
+
+def _sketchable(field: T.StructField) -> Column:
+    """The value as text, the two zeros as one."""
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return F.when(_column(field) == 0, F.lit(0.0)).otherwise(_column(field)).cast("string")
+    return text_value(field)
+
+
+def column_sketches(df: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """(file, column, total_rows, non_null_count, sketch) of each input file and column.
+
+    One scan; a task hands on one sketch for each of its files and columns, whatever the rows. Sketches
+    can be stored, and those of later files united with them: nothing is scanned again. Rows that
+    come from no file have the empty file name.
+    """
+    values = [_sketchable(f).alias(f"_{i}") for i, f in enumerate(df.schema.fields)]
+    parts = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.count("*").alias("total_rows"),
+            F.count(f"_{i}").alias("non_null_count"),
+            F.hll_sketch_agg(f"_{i}", F.lit(bits)).alias("sketch"),
+        )
+        for i, name in enumerate(df.columns)
+    ]
+    per_file = df.select(F.input_file_name().alias("file"), *values).groupBy("file").agg(F.array(*parts).alias("parts"))
+    return per_file.select("file", F.inline("parts"))
+
+
+def sketch_counts(sketches: DataFrame) -> DataFrame:
+    """The counts of ``column_counts`` from sketches; ``unique_count`` is an estimate."""
+    return sketches.groupBy("column").agg(
+        F.sum("total_rows").alias("total_rows"),
+        F.sum("non_null_count").alias("non_null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_count"),
+    )
+
+
 def first_values(df: DataFrame, k: int, order_by: list[str] | None = None) -> DataFrame:
     """(column, value, nth): the first k non-NULL values of every column, as text.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import percent
-from ..operators.columns import column_counts, first_values
+from ..operators.columns import column_counts, column_sketches, first_values, sketch_counts
 from ..session import small_frame
 from ..sources.files import discover, file_name, read_inferred
 from .quality import union
@@ -83,12 +83,14 @@ def sample_values(df: DataFrame, order_by: list[str] | None = None) -> DataFrame
     return first_values(df, SAMPLES, order_by).select("column", "nth", "value")
 
 
-def profile(df: DataFrame, name: str, order_by: list[str] | None = None) -> DataFrame:
-    """One row per column with counts, samples and a suggested type."""
+def profile(df: DataFrame, name: str, order_by: list[str] | None = None, approximate: bool = False) -> DataFrame:
+    """One row per column with counts, samples and a suggested type.
+
+    ``approximate`` estimates the distinct counts by sketches, with a standard error of 0.8 %: no value is shuffled.
+    """
     nulls = F.col("total_rows") - F.col("non_null_count")
-    joined = (
-        _declared(df).join(column_counts(df), "column", "left").join(column_samples(df, order_by), "column", "left")
-    )
+    counts = sketch_counts(column_sketches(df)) if approximate else column_counts(df)
+    joined = _declared(df).join(counts, "column", "left").join(column_samples(df, order_by), "column", "left")
     return joined.select(
         F.lit(name).alias("file_name"),
         "total_rows",

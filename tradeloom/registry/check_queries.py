@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.columns import column_counts, column_sketches, sketch_counts
 from ..plans import models, profiling, quality
 from ..sources.files import clean
 from ..sources.specs import LINKS
@@ -95,6 +96,14 @@ def _profile_summary(spark: SparkSession, folder: str) -> DataFrame:
     return profiling.profile_summary(quality.union(profiling.profile(df, name) for name, df in star.items()))
 
 
+def _approximate(df: DataFrame) -> DataFrame:
+    """Counts from sketches, and whether the estimates are within four standard errors of the exact counts."""
+    exact = column_counts(df).select("column", F.col("unique_count").alias("exact"))
+    got = sketch_counts(column_sketches(df)).join(exact, "column")
+    near = F.abs(F.col("unique_count") - F.col("exact")) <= F.greatest(F.lit(1), 0.032 * F.col("exact"))
+    return got.select("column", "total_rows", "non_null_count", near.alias("near"))
+
+
 QUERIES = {
     "dup_check_single": _on("order_items", lambda df: quality.check_duplicates(df, "order_id")),
     "dup_check_composite": _on("order_items", lambda df: quality.check_duplicates(df, ["order_id", "order_item_id"])),
@@ -129,6 +138,7 @@ QUERIES = {
     "profile_part": _on_star("part", lambda df: _counts(df, "part")),
     "profile_lineitem": _on_star("lineitem", lambda df: _counts(df, "lineitem")),
     "profile_documents": _on_star("documents", lambda df: _counts(df, "documents")),
+    "profile_approximate": _on_star("documents", _approximate),
     "profile_samples": _on_star("orders", lambda df: profiling.sample_values(df, ["o_orderkey"])),
     "suggested_types": _suggested,
     "profile_summary": _profile_summary,
@@ -342,6 +352,10 @@ ORACLE = {
             FROM c_orders GROUP BY ALL""",
     ),
     **{f"profile_{name}": _profile_sql(name, columns) for name, columns in STAR_COLUMNS.items()},
+    "profile_approximate": "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", COUNT(*) AS total_rows, COUNT({c}) AS non_null_count, TRUE AS near FROM documents"""
+        for c in ("doc_id", "text", "lang", "source", "n_chars")
+    ),
     "profile_samples": _samples_sql(),
     "suggested_types": _suggested_sql(),
     "profile_summary": """
