@@ -223,7 +223,7 @@ def _report_rows(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
 
 def _error_rows(spark: SparkSession, names: tuple[str, ...], error: Exception) -> DataFrame:
     order = list(LABELS)
-    text = f"Error - {str(error)[:80]}"
+    text = f"Error - {error}"
     rows = [(order.index(name) + 1, *LABELS[name], text) for name in names]
     return small_frame(spark, rows, "position int, category string, check_name string, value string")
 
