@@ -15,11 +15,14 @@ from pyspark.sql.types import StructType
 # Only runtime settings, so they can also be applied to a session somebody else built.
 # forceOptimizeSkewedJoin lets AQE split a hot key even where the rows must be
 # shuffled once more afterwards, which is cheaper than one task holding that key.
+# Timestamps are written as microseconds: the default form of Parquet files has no min/max
+# statistics, so that no filter on a date would skip anything.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

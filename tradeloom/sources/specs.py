@@ -11,6 +11,9 @@ class Layout:
 
     Bucketing on the order id lets items, reviews and payments meet their order without a
     shuffle. It is not the default: a bucket cannot be split, so it suits keys without hot values.
+
+    ``zorder_by`` orders the whole table by the interleaved places of several columns, so that a filter
+    on any one of them skips files and row groups; ``bloom`` adds Bloom filters for equality on ids.
     """
 
     partition_by: tuple[str, ...] = ()
@@ -18,6 +21,8 @@ class Layout:
     buckets: int = 0
     sort_by: tuple[str, ...] = ()
     range_clustered: bool = False
+    zorder_by: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -27,6 +32,7 @@ class TableSpec:
     columns: dict[str, str]
     key: tuple[str, ...] = ()
     layout: Layout = field(default_factory=Layout)
+    lookup: tuple[str, ...] = ()
     multi_line: bool = False
     comment: str = ""
     column_comments: dict[str, str] = field(default_factory=dict)
@@ -45,6 +51,7 @@ CUSTOMERS = TableSpec(
     ),
     key=("customer_id",),
     layout=Layout(sort_by=("customer_state", "customer_zip_code_prefix")),
+    lookup=("customer_unique_id", "customer_state", "customer_zip_code_prefix"),
     comment="One row per order's customer; the unique id is the person behind it",
     column_comments={"customer_unique_id": "The person, the same across that person's orders"},
 )
@@ -57,6 +64,7 @@ GEOLOCATION = TableSpec(
         **_typed("string", "geolocation_city", "geolocation_state"),
     },
     layout=Layout(sort_by=("geolocation_zip_code_prefix",)),
+    lookup=("geolocation_zip_code_prefix", "geolocation_state"),
     comment="Coordinates seen for a zip code prefix; several rows per prefix",
 )
 ORDERS = TableSpec(
@@ -72,6 +80,7 @@ ORDERS = TableSpec(
     },
     key=("order_id",),
     layout=Layout(sort_by=("order_purchase_timestamp",)),
+    lookup=("customer_id", "order_status", "order_purchase_timestamp"),
     comment="Fact table: customers, payments, reviews and items all hang off it",
     column_comments={"order_status": "Stage of the order, from created to delivered, or canceled"},
 )
@@ -87,6 +96,7 @@ ORDER_ITEMS = TableSpec(
     },
     key=("order_id", "order_item_id"),
     layout=Layout(sort_by=("order_id",)),
+    lookup=("order_id", "product_id", "seller_id"),
     comment="Order lines, each one product from one seller",
     column_comments={"order_item_id": "Line number inside the order, starting at 1"},
 )
@@ -102,6 +112,7 @@ ORDER_PAYMENTS = TableSpec(
     },
     key=("order_id", "payment_sequential"),
     layout=Layout(sort_by=("order_id",)),
+    lookup=("order_id", "payment_type"),
     comment="Payments; an order may be paid in several parts",
     column_comments={"payment_sequential": "Number of the payment inside the order"},
 )
@@ -116,6 +127,7 @@ ORDER_REVIEWS = TableSpec(
     },
     key=("review_id",),
     layout=Layout(sort_by=("order_id",)),
+    lookup=("order_id", "review_score", "review_creation_date"),
     multi_line=True,
     comment="Reviews of orders; usually one, sometimes several per order",
 )
@@ -132,6 +144,7 @@ PRODUCTS = TableSpec(
     },
     key=("product_id",),
     layout=Layout(sort_by=("product_category_name",)),
+    lookup=("product_category_name",),
     comment="Catalog of products offered",
 )
 SELLERS = TableSpec(
@@ -140,6 +153,7 @@ SELLERS = TableSpec(
     columns=_typed("string", "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
     key=("seller_id",),
     layout=Layout(sort_by=("seller_state", "seller_zip_code_prefix")),
+    lookup=("seller_state", "seller_zip_code_prefix"),
     comment="Marketplace sellers",
 )
 TRANSLATION = TableSpec(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import pretty_size
+from ..operators.clustering import unused, with_zorder_key
 from ..plans.marts import MATERIALIZED, VIEWS
 from ..session import small_frame
 from ..sources.specs import TABLES, Layout, TableSpec
@@ -49,12 +50,23 @@ def _staged(df: DataFrame, schema: str, table: str, layout: Layout, folder: str)
     spark = df.sparkSession
     ordered = [c for c in (*layout.partition_by, *layout.sort_by) if c in df.columns]
     seen = Observation()
+    place = unused(df, "_place")
+    if layout.zorder_by:
+        df = with_zorder_key(df, layout.zorder_by, place)
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if ordered and not layout.bucket_by:
+    if place in df.columns:
+        # Rows alike in all of the columns have one key; the hash of the row spreads them over files.
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        df = df.repartitionByRange(place, spread).sortWithinPartitions(place).drop(place)
+    elif ordered and not layout.bucket_by:
         if layout.range_clustered:
             df = df.repartitionByRange(*ordered, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         df = df.sortWithinPartitions(*ordered)
     writer = df.write.format("parquet").option("path", folder)
+    for column in layout.bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if layout.bloom:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
     if layout.bucket_by:
@@ -151,6 +163,20 @@ def restore_previous(spark: SparkSession, schema: str, table: str) -> None:
     spark.sql(f"REFRESH TABLE {target}")
 
 
+def cluster_table(spark: SparkSession, schema: str, table: str, columns: tuple[str, ...] | None = None) -> None:
+    """Rewrite a stored table in Z-order of its lookup columns, with Bloom filters for those that are ids.
+
+    Loads order rows inside their tasks, which costs no shuffle but serves one column. This serves all
+    of ``columns`` (by default those of the table's specification) alike, at the price of one shuffle.
+    """
+    columns = columns or (TABLES[table].lookup if table in TABLES else ())
+    df = spark.table(quoted(schema, table))
+    columns = tuple(c for c in columns if c in df.columns)
+    if not columns:
+        raise ValueError(f"{schema}.{table} has no lookup columns")
+    write_table(df, schema, table, Layout(zorder_by=columns, bloom=tuple(c for c in columns if c.endswith("_id"))))
+
+
 def add_comments(spark: SparkSession, schema: str, specs: dict[str, TableSpec] = TABLES) -> int:
     """Document the tables and columns that exist; returns how many comments were set."""
     done = 0
