@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import small_frame
+from ..session import ship
 
 NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -107,29 +112,83 @@ def sketch_counts(sketches: DataFrame) -> DataFrame:
     )
 
 
+def _sort_keys(df: DataFrame, order_by: list[str] | None) -> list[Column]:
+    """Columns whose ascending order, NULL first, is that of the input files or of ``order_by``."""
+    if not order_by:
+        # Inside a task the numbers grow in the order in which the rows of a block are read.
+        file, number = [F.input_file_name(), F.input_file_block_start()], F.monotonically_increasing_id()
+        try:
+            df.select(*file)
+        except AnalysisException:  # rows joined from several sources have no file
+            return [number]
+        return [*file, number]
+    keys = []
+    for name in order_by:
+        if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            keys.append(F.isnan(F.col(f"`{name}`")) & F.col(f"`{name}`").isNotNull())
+        keys.append(F.col(f"`{name}`"))
+    return keys
+
+
+def _whole(table: pa.Table) -> list[pa.Array]:
+    """Each column as one array; the tables here hold at least one row."""
+    return [pa.concat_arrays(column.chunks) for column in table.columns]
+
+
+def _heads(k: int, keys: int):
+    """Arrow batches to the first k values of each column of a task, merged batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, pa.Table] = {}
+        names = [f"_k{i}" for i in range(keys)]
+        order = [(name, "ascending") for name in names]
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            # Sorted once a batch, by the keys alone; a column takes its first values from that order.
+            places = pc.sort_indices(table.select(names), sort_keys=order, null_placement="at_start")
+            for c in range(table.num_columns - keys):
+                values = table.column(keys + c)
+                chosen = places.filter(values.is_valid().take(places))[:k]
+                if not len(chosen):
+                    continue
+                head = table.select([*names, f"_v{c}"]).take(chosen).rename_columns([*names, "value"])
+                if c in best:
+                    head = pa.concat_tables([best[c], head]).combine_chunks()
+                    head = head.take(pc.sort_indices(head.select(names), sort_keys=order, null_placement="at_start")[:k])
+                best[c] = head
+        for c, head in best.items():
+            # Made anew, as all batches of a stream must agree on what may be NULL.
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(head), c, np.int32)), *_whole(head)], ["column", *names, "value"])
+
+    return run
+
+
+#: Lots in which the tasks' first values meet before those of a column meet in one task.
+LOTS = 256
+
+
 def first_values(df: DataFrame, k: int, order_by: list[str] | None = None) -> DataFrame:
     """(column, value, nth): the first k non-NULL values of every column, as text.
 
-    With ``order_by`` every task hands on its k smallest rows (a top-k, not a sort). Without it
-    the order is that of the input files: ``take`` then reads only as many files as it needs,
-    and k values per column pass through the driver.
+    The order is that of ``order_by``, or of the input files: by name, block and place in the block. One
+    scan serves all columns: a task keeps the k first values of each, and only those leave it. They meet in
+    ``LOTS`` lots and then by column, so that no task gets more than ``LOTS * k`` values however many
+    tasks there were. Rows of equal ``order_by`` come in any order; without files and without
+    ``order_by`` the order is that of the partitions.
     """
-    if order_by:
-        heads = [
-            df.where(_column(f).isNotNull())
-            .orderBy(*order_by)
-            .limit(k)
-            .select(F.lit(f.name).alias("column"), text_value(f).alias("value"), F.struct(*order_by).alias("_order"))
-            for f in df.schema.fields
-        ]
-        nth = F.row_number().over(Window.partitionBy("column").orderBy("_order"))
-        return reduce(DataFrame.unionAll, heads).select("column", "value", nth.alias("nth"))
-    # The first k rows settle every column without NULLs among them; the others are asked singly.
-    first = df.select(*[text_value(f) for f in df.schema.fields]).take(k)
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        head = [row[i] for row in first if row[i] is not None]
-        if len(head) < k and len(first) == k:
-            head = [row[0] for row in df.where(_column(f).isNotNull()).select(text_value(f)).take(k)]
-        rows += [(f.name, value, n) for n, value in enumerate(head, start=1)]
-    return small_frame(df.sparkSession, rows, "column string, value string, nth int")
+    keys = _sort_keys(df, order_by)
+    names = [f"_k{i}" for i in range(len(keys))]
+    fields = df.schema.fields
+    ship(df.sparkSession)
+    cells = df.select(
+        *[key.alias(name) for key, name in zip(keys, names, strict=True)],
+        *[text_value(f).alias(f"_v{i}") for i, f in enumerate(fields)],
+    )
+    kinds = ", ".join(f"{name} {cells.schema[name].dataType.simpleString()}" for name in names)
+    heads = cells.mapInArrow(_heads(k, len(keys)), f"column int, {kinds}, value string")
+    lot = F.pmod(F.spark_partition_id(), F.lit(LOTS))
+    for group in (["column", "_lot"], ["column"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(*names))
+        heads = (heads.withColumn("_lot", lot) if "_lot" in group else heads).withColumn("nth", place).where(F.col("nth") <= k)
+    labels = F.array(*[F.lit(f.name) for f in fields]).cast("array<string>")
+    return heads.select(F.get(labels, F.col("column")).alias("column"), "value", "nth")
