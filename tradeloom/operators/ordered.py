@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import small_frame
+from .clustering import place_of, unused
 
 #: Counts of one pass and digit; also the most rows that a last pass counts by value.
 DIGIT_BITS = 12
@@ -127,3 +128,40 @@ def with_previous(
     same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate([*group, "_bucket"])]
     earlier = F.when(F.col("_nth") == 1, F.col("_carried.v")).otherwise(F.col(previous))
     return rows.join(lasts, reduce(operator.and_, same), "left").select(*df.columns, earlier.alias(previous))
+
+
+#: Cut points that divide the values to be ranked into ranges.
+RANK_BITS = 10
+
+
+def with_rank(df: DataFrame, value: str, name: str, descending: bool = True, bits: int = RANK_BITS) -> DataFrame:
+    """Add the SQL RANK of ``value`` over all rows, as BIGINT; NULL ranks first if descending, also first if not.
+
+    No task sorts the whole input. Equal values meet first, as (value, rows). Cut points, the values with the
+    least hashes, divide those into ranges; each range adds up its own rows in order, and the total of
+    the ranges before it is carried into it: at most ``2**bits`` numbers. Both are scalar subqueries, so nothing
+    runs while the plan is built, and the same values give the same cuts in every task that is run again.
+    """
+    key, rows = unused(df, "_value"), unused(df, "_rows")
+    counts = df.groupBy(F.col(f"`{value}`").alias(key)).agg(F.count("*").alias(rows))
+    most = (1 << bits) - 1
+    sample = counts.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(most)
+    cuts = sample.agg(F.array_sort(F.collect_list(key)).alias("cuts"))
+    at = place_of(F.col(key), F.col("_cuts"), bits)
+    # Ranges are numbered in the order of the ranks; that of NULL lies before all others.
+    place = F.when(F.col(key).isNull(), F.lit(-(1 << bits))).otherwise(-at if descending else at)
+    placed = counts.withColumn("_cuts", cuts.scalar()).select(key, rows, place.alias("_place"))
+    totals = placed.groupBy("_place").agg(F.sum(rows).alias("total"))
+    totals = totals.agg(F.collect_list(F.struct("_place", "total")).alias("totals"))
+    before = F.aggregate(
+        F.filter("_totals", lambda t: t["_place"] < F.col("_place")), F.lit(0).cast("bigint"), lambda sum_, t: sum_ + t["total"]
+    )
+    order = F.col(key).desc_nulls_first() if descending else F.col(key).asc_nulls_first()
+    inside = Window.partitionBy("_place").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (
+        placed.withColumn("_inside", F.coalesce(F.sum(rows).over(inside), F.lit(0)))
+        .withColumn("_totals", totals.scalar())
+        .select(key, (before + F.col("_inside") + 1).alias(name))
+    )
+    # Equal values, however many, get their rank by a join that AQE can split.
+    return df.join(ranked, F.col(f"`{value}`").eqNullSafe(F.col(key)), "left").drop(key)

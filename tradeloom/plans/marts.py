@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import (
@@ -24,6 +24,7 @@ from ..functions.expressions import (
     money_total,
     ratio,
 )
+from ..operators.ordered import with_rank
 from ..operators.rollups import (
     item_measures,
     item_sums,
@@ -211,9 +212,7 @@ def category_performance(t: Tables) -> DataFrame:
         .groupBy("category")
         .agg(F.count_distinct("product_id").alias("unique_products"))
     )
-    # The only unpartitioned window: its input is one short row per category label.
-    revenue_order = Window.orderBy(F.desc_nulls_first("total_revenue"))
-    ranked = measures.withColumn("revenue_rank", F.rank().over(revenue_order).cast("bigint"))
+    ranked = with_rank(measures, "total_revenue", "revenue_rank")
     return ranked.join(products, "category").select(
         "category",
         "order_count",
