@@ -5,6 +5,7 @@ import math
 import pytest
 
 from tradeloom.plans import marts
+from tradeloom.plans.models import run_models
 from tradeloom.plans.view_sql import STORED_VIEWS, View
 from tradeloom.warehouse import catalog, views
 
@@ -68,3 +69,8 @@ def test_replace_drop_and_restore(spark, stored):
     for name in ("v_two", "v_one"):
         views.drop_view(spark, "views_out", name)
     assert not spark.catalog.tableExists("views_out.v_one") and views.registered(spark, "views_out").keys() == set(stored)
+
+
+def test_a_model_is_a_view_of_its_database(spark):
+    first, second = (run_models(spark)[name] for name in ("first_model", "second_model"))
+    assert rows(spark.newSession().table("dbt_dev.second_model")) == rows(second) == rows(first.where("id = 1"))

@@ -21,7 +21,11 @@ DEFAULT_KIND = "view"
 
 @dataclass(frozen=True)
 class Model:
-    """``build`` gets the session and the results of the models named in ``refs``."""
+    """``build`` gets the session and the results of the models named in ``refs``.
+
+    ``sql``, where given, is the same model as text over ``{schema}``, the target's database. A view of it
+    can be stored there, which a view of a DataFrame cannot.
+    """
 
     name: str
     build: Callable[..., DataFrame]
@@ -29,6 +33,7 @@ class Model:
     kind: str | None = None
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
+    sql: str | None = None
 
 
 def with_null_id(rows: DataFrame, column: str) -> DataFrame:
@@ -52,17 +57,26 @@ MODELS = [
     Model("first_model", lambda spark: first_model(spark), kind="table", unique=("id",), not_null=("id",)),
     Model(
         "second_model", lambda spark, first: second_model(first), refs=("first_model",),
-        unique=("id",), not_null=("id",),
+        unique=("id",), not_null=("id",), sql="SELECT id FROM {schema}.first_model WHERE id = 1",
     ),
 ]
 
 
-def materialize(df: DataFrame, name: str, kind: str | None = None, target: str = "dev") -> DataFrame:
-    """Store a model as a table, or register it as a view; the model's kind beats the default."""
+def materialize(
+    df: DataFrame, name: str, kind: str | None = None, target: str = "dev", sql: str | None = None
+) -> DataFrame:
+    """Store a model as a table, or register it as a view; the model's kind beats the default.
+
+    A view with ``sql`` is stored in the target's database, for every session of the catalog.
+    """
     spark, schema = df.sparkSession, TARGET_SCHEMAS[target]
     if (kind or DEFAULT_KIND) == "view":
         # A temporary view has no database; the target's name goes in front instead.
         df.createOrReplaceTempView(f"{schema}_{name}")
+        if sql:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+            spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {sql.replace('{schema}', schema)}")
+            return spark.table(f"{schema}.{name}")
         return spark.table(f"{schema}_{name}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     df.write.mode("overwrite").format("parquet").saveAsTable(f"{schema}.{name}")
@@ -74,7 +88,7 @@ def run_models(spark: SparkSession, models: list[Model] | None = None, target: s
     done: dict[str, DataFrame] = {}
     for model in models or MODELS:
         df = model.build(spark, *[done[ref] for ref in model.refs])
-        done[model.name] = materialize(df, model.name, model.kind, target)
+        done[model.name] = materialize(df, model.name, model.kind, target, model.sql)
     return done
 
 
