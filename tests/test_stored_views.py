@@ -72,5 +72,6 @@ def test_replace_drop_and_restore(spark, stored):
 
 
 def test_a_model_is_a_view_of_its_database(spark):
-    first, second = (run_models(spark)[name] for name in ("first_model", "second_model"))
+    done = run_models(spark)
+    first, second = done["first_model"], done["second_model"]
     assert rows(spark.newSession().table("dbt_dev.second_model")) == rows(second) == rows(first.where("id = 1"))
