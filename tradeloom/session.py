@@ -25,13 +25,29 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# A shuffle is cut finely and then coalesced to this many bytes a task, so that what a task sorts and
+# groups does not grow with the tables (up to 2000 partitions, 32 GB a shuffle). 2000 is also the most
+# for which Spark keeps the exact size of each partition. Scans hold their partial groups and the rows
+# they deal out, so they are cut as well.
+TASK_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
 
-def tune(spark: SparkSession) -> SparkSession:
-    for name, value in RUNTIME_SETTINGS.items():
+def tune(spark: SparkSession, **more: str) -> SparkSession:
+    for name, value in {**RUNTIME_SETTINGS, **more}.items():
         spark.conf.set(name, value)
     return spark
 
 
+def tune_tables(spark: SparkSession) -> SparkSession:
+    """For work on tables. The text operators deal their own chunks and take the partitions that are set."""
+    return tune(spark, **TASK_SETTINGS)
+
+
 def local_session(cpus: int | str = 8, name: str = "tradeloom", **settings: str) -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
     builder = (
