@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from tradeloom import session
 from tradeloom.operators.rollups import reviewed_lines
+from tradeloom.registry import warehouse_queries
 
 
 def test_grouped_lines_are_cut_by_bytes_not_by_a_number_of_partitions(spark, monkeypatch):
@@ -25,3 +28,19 @@ def test_grouped_lines_are_cut_by_bytes_not_by_a_number_of_partitions(spark, mon
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_csv_with_line_breaks_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i, "en", f'line "{i}"\nnext, line' if i % 3 else None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    seen, read = [], warehouse_queries.read_inferred
+    monkeypatch.setattr(warehouse_queries, "read_inferred", lambda s, path, **more: seen.append(path) or read(s, path, **more))
+    open_cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))  # a task for each file
+    try:
+        back = warehouse_queries.QUERIES["csv_line_breaks"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+    assert len(list(Path(seen[0].removeprefix("file:")).glob("part-*.csv"))) == 4
+    assert {(r.doc_id, r.lang, r.n_chars) for r in back} == {(i, lang, len(text or "")) for i, lang, text in rows}

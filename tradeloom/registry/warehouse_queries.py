@@ -51,11 +51,11 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts with line breaks, written to one CSV file and read back in splits."""
+    """Texts with line breaks, written to CSV by as many tasks as read them, and read back in splits."""
     path = work_dir(spark, "csv")
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text")
     whole = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    docs.coalesce(1).write.options(**whole).csv(path)
+    docs.write.options(**whole).csv(path)
     back = read_inferred(spark, path, multi_line=True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.length(text).alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
