@@ -143,3 +143,13 @@ def test_sketches_never_differ_more_than_sets():
             length = min(len(x), len(y))
             apart = int(np.bitwise_count(jaccard._folded(x, length) ^ jaccard._folded(y, length)).sum())
             assert apart <= len(np.setxor1d(s, t)) and (apart - len(np.setxor1d(s, t))) % 2 == 0
+
+
+def test_few_pairs_are_compared_in_one_pass(spark, monkeypatch):
+    passes, similar = [], jaccard._similar
+    monkeypatch.setattr(jaccard, "_similar", lambda *a: passes.append(a) or similar(*a))
+    words = [f"w{i}" for i in range(100)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, "other words here")], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.link(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+    assert len(passes) == 1

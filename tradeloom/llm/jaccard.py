@@ -44,6 +44,7 @@ PERCENT = 90
 SPARE = 1
 MANY = 32
 PASSES = 4
+PASS_BYTES = 64 << 20
 BLOCK = 256
 HASHER = Hasher(9)
 U64 = np.uint64
@@ -188,7 +189,7 @@ def _full_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
 
 
 def _near(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sketches do not rule a link out."""
+    """The pairs (a, b) whose sketches do not rule a link out, with the number of features of both sets."""
     side = lambda x: features.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
 
@@ -207,19 +208,28 @@ def _near(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
                 x, y = (np.frombuffer(s[i].as_buffer(), np.uint8) for s in (left, right))
                 length = min(len(x), len(y))
                 apart[i] = np.bitwise_count(_folded(x, length) ^ _folded(y, length)).sum()
-            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
+            every = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sizes, pa.int64())], ["a", "b", "n"])
+            yield every.filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long, n long").distinct()
 
 
 def _linked(spark: SparkSession, pairs: DataFrame, features: DataFrame, percent: int, path: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: those with near sketches, compared in passes, each of which holds a part of their sets on disk."""
-    _near(pairs, features, percent).write.parquet(f"{path}-near")
-    pairs, features = spark.read.parquet(f"{path}-near"), features.select("id", "features")
-    for k in range(PASSES):
-        own = lambda c: F.pmod(F.xxhash64(c), F.lit(PASSES)) == k  # noqa: E731, B023
+    """The pairs (a, b) whose sets are similar enough: those with near sketches, compared in passes, each of which holds a part of their sets on disk.
+
+    There are no more passes than the bytes of these sets need.
+    """
+    near = _near(pairs, features, percent)
+    near.write.parquet(f"{path}-near")
+    near, features = spark.read.schema(near.schema).parquet(f"{path}-near"), features.select("id", "features")
+    both, pairs = near.agg(F.sum("n")).first()[0], near.select("a", "b")
+    if both is None:
+        return pairs
+    passes = min(PASSES, 1 + 8 * both // PASS_BYTES)
+    for k in range(passes):
+        own = lambda c: F.pmod(F.xxhash64(c), F.lit(passes)) == k  # noqa: E731, B023
         _similar(pairs.where(own("a")), features.where(own("id")), features, percent).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(pairs.schema).parquet(path)
 
 
 def _similar(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
@@ -247,7 +257,7 @@ def components(spark: SparkSession, edges: DataFrame, path: str) -> DataFrame:
     """
     current, rounds = edges, 0
     while True:
-        pairs = current.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        pairs = current.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
         large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -255,7 +265,7 @@ def components(spark: SparkSession, edges: DataFrame, path: str) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("least"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(least.select("a", F.col("least").alias("b")))
         small.where("a <> b").distinct().write.parquet(f"{path}/stars-{rounds}")
-        current = spark.read.parquet(f"{path}/stars-{rounds}")
+        current = spark.read.schema(small.schema).parquet(f"{path}/stars-{rounds}")
         # Done when these are stars: who has a centre has one, and is none.
         centres = current.select(F.col("b").alias("a")).distinct()
         if current.select("a").unionByName(centres).groupBy("a").count().where("count > 1").isEmpty():
@@ -279,7 +289,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: s
 def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     # Equal sets are one node, the least id that has it.
     sets = stored(sets_of(docs, size, id_col, text_col), "sets")
