@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from tradeloom.llm import toxicity
@@ -74,3 +75,13 @@ def test_toxic_documents_go(spark, trained):
     ids = {r["doc_id"] for r in kept.collect()}
     clean = {i for i, t in known if not t}
     assert len(ids & clean) > 0.97 * len(clean) and len(ids - clean) < 8
+
+
+def test_training_rows_lie_in_two_arrays():
+    table = pa.Table.from_batches([
+        pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(b, pa.list_(pa.int32())), pa.array(c, pa.list_(pa.float32()))], ["toxic", "buckets", "counts"])
+        for t, b, c in (([1, 0], [[3, 5], []], [[1.0, 2.0], []]), ([1], [[7]], [[4.0]]))
+    ])
+    rows = toxicity._local(table)
+    assert [(t, b.tolist(), c.tolist()) for t, b, c in rows] == [(1, [3, 5], [1.0, 2.0]), (0, [], []), (1, [7], [4.0])]
+    assert rows[0][1].base is rows[2][1].base is not None and rows[0][2].base is rows[2][2].base is not None

@@ -129,11 +129,14 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 6) -> Model:
         odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model(weight, np.zeros(BUCKETS), float(odds))
     used = texts >= MIN_TEXTS
-    inputs = []
-    for _, buckets, counts in rows:
-        value = counts * weight[buckets]  # buckets stay 32-bit, as they came
+    # Two large arrays for all rows: their memory goes back when they go, unlike that of thousands of small ones.
+    ends = np.cumsum([0, *(np.count_nonzero(used[buckets]) for _, buckets, _ in rows)]).tolist()
+    every, values = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
+    for (_, buckets, counts), low, high in zip(rows, ends[:-1], ends[1:], strict=True):
+        value = counts * weight[buckets]
         value = value / max(value.sum(), 1e-9)
-        inputs.append((buckets[used[buckets]], value[used[buckets]].astype(np.float32)))
+        every[low:high], values[low:high] = buckets[used[buckets]], value[used[buckets]]
+    inputs = [(every[low:high], values[low:high]) for low, high in zip(ends[:-1], ends[1:], strict=True)]
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-0.01, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
     vectors[~used] = 0
@@ -168,13 +171,24 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
     # At most labelled_rows ids and labels: a bounded broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
-    # The Arrow table goes before the fit begins.
-    return fit(_local(texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>").toArrow()))
+    # The Arrow table goes before the fit begins, and what it took is given back: this is the driver's memory.
+    rows = _local(texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>").toArrow())
+    pa.default_memory_pool().release_unused()
+    return fit(rows)
 
 
 def _local(table: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    buckets, counts = (table.column(c).combine_chunks() for c in ("buckets", "counts"))
-    return [(int(t == 1), b.values.to_numpy(), c.values.to_numpy()) for t, b, c in zip(table.column("toxic").to_pylist(), buckets, counts, strict=True)]
+    """Rows as parts of two arrays, copied chunk by chunk."""
+    ends = np.cumsum([0, *pc.list_value_length(table.column("buckets")).to_pylist()]).tolist()
+    both = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
+    for name, flat in zip(("buckets", "counts"), both, strict=True):
+        low = 0
+        for chunk in table.column(name).chunks:
+            values = chunk.flatten().to_numpy(zero_copy_only=False)
+            flat[low : low + len(values)] = values
+            low += len(values)
+    labels = table.column("toxic").to_pylist()
+    return [(int(t == 1), both[0][low:high], both[1][low:high]) for t, low, high in zip(labels, ends[:-1], ends[1:], strict=True)]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
