@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 
@@ -92,3 +94,10 @@ def test_a_vocabulary_without_bytes_gives_one_unknown_for_a_run():
     vocab.fallback = False
     values, counts = pieces.Encoder(vocab).encode(["a日\x01\x02b"])
     assert (values == vocab.unknown).sum() == 1 and counts[0] == len(values)
+
+
+def test_ids_are_decoded_in_parts():
+    lists = pa.array([[1] * 3, None, [2] * 4, [], [3] * 9, [4]], pa.list_(pa.int32()))
+    parts = list(pieces._parts(lists, pc.list_value_length, 7))
+    assert [x for p in parts for x in p.to_pylist()] == lists.to_pylist()
+    assert [sum(map(len, filter(None, p.to_pylist()))) for p in parts] == [7, 9, 1]

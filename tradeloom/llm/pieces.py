@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-BLOCK_BYTES = 4_000_000
-KNOWN_SEGMENTS = 400_000
+BLOCK_BYTES = 1_000_000
+BLOCK_IDS = 250_000
+KNOWN_SEGMENTS = 200_000
 LONG = 200
 #: Offsets within a segment take this many bits of an agenda entry, so LONG must stay below 1 << OFFSET_BITS.
 OFFSET_BITS = 8
@@ -360,14 +361,14 @@ def _repaired(raw: bytes) -> str:
     return "".join(parts)
 
 
-def _slices(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
-    """Parts of a text column of at most ``limit`` bytes, or one text."""
-    ends = np.cumsum(pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
+def _parts(column: pa.Array, size: Callable[[pa.Array], pa.Array], limit: int) -> Iterator[pa.Array]:
+    """Parts of a column of at most ``limit`` in size, or one value."""
+    ends = np.cumsum(size(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     low = 0
-    while low < len(texts):
+    while low < len(column):
         before = ends[low - 1] if low else 0
         high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
-        yield texts.slice(low, high - low)
+        yield column.slice(low, high - low)
         low = high
 
 
@@ -381,7 +382,7 @@ def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: st
         encoder = Encoder(shared.value)
         for batch in batches:
             low = 0
-            for texts in _slices(batch.column(text_col), BLOCK_BYTES):
+            for texts in _parts(batch.column(text_col), pc.binary_length, BLOCK_BYTES):
                 values, counts = encoder.encode(texts.to_pylist())
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(values, pa.int32()))
                 own = batch.slice(low, len(texts))
@@ -400,13 +401,16 @@ def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
         for batch in batches:
-            lists = batch.column(ids_col)
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.r_[0, np.cumsum(np.array([n or 0 for n in lists.value_lengths().to_pylist()], np.int64))]
-            if len(values) and (values.min() < 0 or values.max() >= vocab.size):
-                raise ValueError(f"ids must be from 0 to {vocab.size - 1}")
-            texts = [_text(values[low:high], vocab) for low, high in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
+            low = 0
+            for lists in _parts(batch.column(ids_col), pc.list_value_length, BLOCK_IDS):
+                values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                ends = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))]
+                if len(values) and (values.min() < 0 or values.max() >= vocab.size):
+                    raise ValueError(f"ids must be from 0 to {vocab.size - 1}")
+                texts = [_text(values[start:end], vocab) for start, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                own = batch.slice(low, len(lists))
+                low += len(lists)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(texts, pa.string())], [*own.schema.names, text_col])
 
     return base.mapInArrow(run, schema)
 
