@@ -128,18 +128,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         marked.agg(F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_gone"), F.collect_set("term").alias("_known")).write.parquet(f"{path}/marked")
         marked = spark.read.parquet(f"{path}/marked")
         bits = _bits(marked)
-        # Only texts that hold such words are read again, and only the words that may be such leave their row.
-        likely = _terms_filter(spark.read.parquet(f"{path}/gone"))
+        # Only texts that hold such words are read again, each once, and meet their own such words.
         again = _likely(keyed.select("_text_hash", text.alias("_text")), bits).where("_likely")
-        again = base_matches(again, "_text").withColumn("_found", matches(_masked(F.col("_text")), WORD, lambda whole, _: _may_hold(likely, F.lower(whole))))
-        again = again.select("_text_hash", "_found").groupBy("_text_hash").agg(F.first("_found").alias("_found")).join(marked, "_text_hash")
-        found = F.filter("_found", lambda x: F.array_contains("_known", F.lower(x["text"])))
+        again = again.groupBy("_text_hash").agg(F.first("_text").alias("_text")).join(marked, "_text_hash")
+        found = matches(_masked(F.col("_text")), WORD, lambda whole, _: F.array_contains("_known", F.lower(whole)))
 
         def span(x: Column) -> Column:
             gone = F.array_contains("_gone", F.lower(x["text"]))
             return F.struct(x["start"], F.when(gone, 5).otherwise(4).alias("rank"), x["end"], F.when(gone, "remove").otherwise("general").alias("kind"))
 
-        again.select(F.col("_text_hash").alias("_other_hash"), F.transform(found, span).cast(SPANS).alias("_spans")).write.parquet(f"{path}/spans")
+        base_matches(again, "_text").select(F.col("_text_hash").alias("_other_hash"), F.transform(found, span).cast(SPANS).alias("_spans")).write.parquet(f"{path}/spans")
     spans = spark.read.parquet(f"{path}/spans")
     # Rows without such words stay where they are.
     rows = _likely(base.drop("_terms"), bits)
@@ -175,22 +173,6 @@ def _likely(rows: DataFrame, bits: DataFrame) -> DataFrame:
     return rows.withColumn("_map", number).join(F.broadcast(bits), "_map", "left").withColumn("_likely", _bit(F.col("_bits"), bit)).drop("_map", "_bits")
 
 
-def _terms_filter(gone: DataFrame) -> Column:
-    """The bitmaps of the disclosing words one after another, as one constant of 2 MB."""
-    number, bit = _place(F.xxhash64("term"))
-    every = bytearray(BITMAPS * BITS // 8)
-    for row in gone.groupBy(number).agg(F.bitmap_construct_agg(bit).alias("_bits")).collect():  # at most BITMAPS rows
-        at = row["_map"] * BITS // 8
-        every[at : at + BITS // 8] = row["_bits"]
-    return F.lit(bytes(every))
-
-
-def _may_hold(filter_bits: Column, term: Column) -> Column:
-    """False only for words that surely disclose nothing."""
-    number, bit = _place(F.xxhash64(term))
-    return _bit(filter_bits, number * BITS + bit)
-
-
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with entities and generalised words replaced by their kind, and revealing words removed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
