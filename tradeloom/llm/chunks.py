@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNKS_PER_PARTITION = 4
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -36,6 +37,17 @@ def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside pass so many rows at a time to Python workers: either side holds one batch as a whole."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def extremes(keys: np.ndarray, values: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys with the least and the greatest value of each, and of each further column."""
     order = np.argsort(keys, kind="stable")

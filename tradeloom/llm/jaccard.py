@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.session import work_dir
 
-from .chunks import short_lived_shuffles, signed
+from .chunks import short_lived_shuffles, signed, small_batches
 from .textcols import NOT_SPACE, Block, Hasher, blocks, mix
 
 SHINGLE = 3
@@ -46,6 +46,9 @@ MANY = 32
 PASSES = 4
 PASS_BYTES = 64 << 20
 BLOCK = 256
+#: Rows that go to a Python worker at a time, and bytes of text whose sets it holds at a time.
+BATCH_ROWS = 1000
+BLOCK_BYTES = 1 << 19
 HASHER = Hasher(9)
 U64 = np.uint64
 
@@ -81,7 +84,7 @@ def sets_of(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), BLOCK_BYTES):
                 row, feature = _sets(block, size)
                 counts = np.bincount(row, minlength=len(block))
                 one, two = (_sums(row, mix(feature ^ U64(seed)), len(block)) for seed in (0x5BD1E995, 0xC2B2AE35))
@@ -147,7 +150,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in blocks(batch.column(1), limit=1 << 20):
+            for block in blocks(batch.column(1), BLOCK_BYTES):
                 row, feature = _sets(block, size)
                 signer, sign, sizes = _signatures(row, feature, len(block), percent)
                 yield pa.RecordBatch.from_arrays([signed(sign), pa.array(ids[block.first + signer], pa.int64()), pa.array(sizes[signer], pa.int32())], ["sign", "id", "size"])
@@ -178,7 +181,7 @@ def _full_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), BLOCK_BYTES):
                 row, feature = _sets(block, size)
                 edge = np.searchsorted(row, np.arange(len(block) + 1))
                 packed, at = _sketches(row, feature, len(block))
@@ -280,7 +283,7 @@ def _labels(members: DataFrame, parts: DataFrame) -> DataFrame:
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of the documents."""
     spark, path = docs.sparkSession, work_dir(docs.sparkSession, "jaccard")
-    with short_lived_shuffles(spark):
+    with short_lived_shuffles(spark), small_batches(spark, BATCH_ROWS):
         labels = _components_of_sets(spark, docs, path, size, percent, id_col, text_col)
     one = spark.read.parquet(f"{path}/nodes").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("id"))
     return _labels(one, labels).select("doc_id", "n_shingles", F.col("component").alias("component_id"))

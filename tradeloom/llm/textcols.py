@@ -65,7 +65,7 @@ class Hasher:
 
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
-            size = max(n, BLOCK_BYTES + 1)
+            size = max(n, min(1 << (n - 1).bit_length(), BLOCK_BYTES + 1))
             self.powers, self.backs = (np.cumprod(np.r_[U64(1), np.full(size - 1, x, U64)]) for x in (self.step, self.back))
 
     def prefix(self, data: np.ndarray) -> np.ndarray:

@@ -40,6 +40,8 @@ RATE = 2.0
 SOFTMAX_RATE = 0.005
 SPREAD = 10.0
 MIN_TEXTS = 5
+#: Texts, and bytes of them, whose words a task takes apart at a time.
+ROWS, BLOCK_BYTES = 256, 1 << 19
 HASHER = Hasher(6)
 
 
@@ -76,26 +78,31 @@ def _features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return words.rows, number, owners, buckets
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Block]]:
+    """Few rows at a time, with the block of their lower-cased texts."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            some = batch.slice(low, ROWS)
+            for block in blocks(pc.utf8_lower(some.column("text")), BLOCK_BYTES):
+                yield some.slice(block.first, len(block)), block
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bucket counts of each text."""
-    for batch in batches:
-        for block in blocks(pc.utf8_lower(batch.column("text"))):
-            rows, number, owners, buckets = _features(block)
-            order = np.argsort(owners, kind="stable")
-            begins = np.searchsorted(owners[order], np.arange(number.max(initial=-1) + 2))
-            out = []
-            for row in range(len(block)):
-                own = number[np.searchsorted(rows, row) : np.searchsorted(rows, row, "right")]
-                kinds, times = np.unique(own, return_counts=True)
-                lengths = begins[kinds + 1] - begins[kinds]
-                at = np.repeat(begins[kinds] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-                total = np.bincount(buckets[order][at], weights=np.repeat(times, lengths), minlength=1)
-                used = np.flatnonzero(total)
-                out.append((used, total[used]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic").slice(block.first, len(block)), pa.array([x[0] for x in out], pa.list_(pa.int32())), pa.array([x[1] for x in out], pa.list_(pa.float32()))],
-                ["toxic", "buckets", "counts"],
-            )
+    for own, block in _parts(batches):
+        rows, number, owners, buckets = _features(block)
+        order = np.argsort(owners, kind="stable")
+        begins = np.searchsorted(owners[order], np.arange(number.max(initial=-1) + 2))
+        out = []
+        for row in range(len(block)):
+            words = number[np.searchsorted(rows, row) : np.searchsorted(rows, row, "right")]
+            kinds, times = np.unique(words, return_counts=True)
+            lengths = begins[kinds + 1] - begins[kinds]
+            at = np.repeat(begins[kinds] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+            total = np.bincount(buckets[order][at], weights=np.repeat(times, lengths), minlength=1)
+            used = np.flatnonzero(total)
+            out.append((used, total[used]))
+        yield pa.RecordBatch.from_arrays([own.column("toxic"), pa.array([x[0] for x in out], pa.list_(pa.int32())), pa.array([x[1] for x in out], pa.list_(pa.float32()))], ["toxic", "buckets", "counts"])
 
 
 @dataclass
@@ -199,17 +206,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            for block in blocks(pc.utf8_lower(batch.column("text"))):
-                rows, number, owners, buckets = _features(block)
-                kinds = number.max(initial=-1) + 1
-                sizes = np.bincount(owners, model.weight[buckets], kinds)
-                sums = np.bincount(owners, (model.weight * model.projected)[buckets], kinds)
-                total = np.bincount(rows, sums[number], len(block))
-                count = np.bincount(rows, sizes[number], len(block))
-                scores = 1 / (1 + np.exp(-np.clip(model.bias + total / np.maximum(count, 1e-9), -50, 50)))
-                own = batch.slice(block.first, len(block))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(scores, pa.float64())], [*own.schema.names, "score"])
+        for own, block in _parts(batches):
+            rows, number, owners, buckets = _features(block)
+            kinds = number.max(initial=-1) + 1
+            sizes = np.bincount(owners, model.weight[buckets], kinds)
+            sums = np.bincount(owners, (model.weight * model.projected)[buckets], kinds)
+            total = np.bincount(rows, sums[number], len(block))
+            count = np.bincount(rows, sizes[number], len(block))
+            scores = 1 / (1 + np.exp(-np.clip(model.bias + total / np.maximum(count, 1e-9), -50, 50)))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(scores, pa.float64())], [*own.schema.names, "score"])
 
     return base.mapInArrow(run, schema)
 
