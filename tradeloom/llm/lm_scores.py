@@ -19,6 +19,8 @@ added here replace columns of the same name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,12 +29,16 @@ from pyspark.sql import types as T
 
 from tradeloom.session import work_dir
 
-from .chunks import chunked, short_lived_shuffles
+from .chunks import chunked, short_lived_shuffles, small_batches
 from .packing import edges, planes, unplanes
 from .textcols import NOT_SPACE, Block, Hasher, blocks
 
 ALPHA = 0.4
 CHUNKS_PER_PARTITION = 4
+SLICES = 16
+BLOCK_BYTES = 1 << 19
+#: Rows of packed hashes, or documents, that go to or come from a Python worker at a time.
+BATCH_ROWS = 32
 HASHER = Hasher(2)
 SAID = "_range int, _chunk int, keys binary, counts binary, words long"
 TOLD = "_chunk int, _range int, totals binary, words long"
@@ -67,23 +73,52 @@ def _say(chunk: int, ranges: int, keys: list[np.ndarray], words: int = 0) -> pa.
 
 
 def _sum(key: tuple, table: pa.Table) -> pa.Table:
-    """The totals of one range of hashes, for each chunk in the order of its own hashes."""
-    parts = [np.cumsum(unplanes(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("keys")]
-    begin = np.r_[0, np.cumsum([len(p) for p in parts])]
-    every = np.concatenate(parts)
-    del parts
+    """The totals of one range of hashes, for each chunk in the order of its own hashes.
+
+    Each chunk's hashes are sorted, so the range is summed slice by slice: only a slice of all chunks is sorted at a time.
+    """
+    keys = [np.cumsum(unplanes(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("keys")]
+    counts = [unplanes(x.as_py(), np.uint32) for x in table.column("counts")]
+    table = table.select(["_chunk", "_range", "words"])
+    totals = [np.empty(len(k), np.int64) for k in keys]
+    for cuts in _slices(keys):
+        order, sums = _sums_of_equal(*(np.concatenate([x[a:b] for x, (a, b) in zip(side, cuts, strict=True)]) for side in (keys, counts)))
+        every = np.empty(len(order), np.int64)
+        every[order] = sums
+        begin = 0
+        for x, (a, b) in zip(totals, cuts, strict=True):
+            x[a:b] = every[begin : begin + b - a]
+            begin += b - a
+    del keys, counts
+    # In small batches, so that neither side holds all of them a second time.
+    out = []
+    for low in range(0, len(totals), BATCH_ROWS):
+        out.append(pa.array([planes(x) for x in totals[low : low + BATCH_ROWS]], pa.binary()))
+        totals[low : low + BATCH_ROWS] = [None] * len(out[-1])
+    return pa.table([table.column("_chunk"), table.column("_range"), pa.chunked_array(out, pa.binary()), table.column("words")], ["_chunk", "_range", "totals", "words"])
+
+
+def _slices(keys: list[np.ndarray]) -> Iterator[list[tuple[int, int]]]:
+    """Where each of ``SLICES`` equal parts of the hashes' span lies in each chunk's sorted hashes."""
+    filled = [k for k in keys if len(k)]
+    if not filled:
+        return
+    low, high = int(min(k[0] for k in filled)), int(max(k[-1] for k in filled))
+    limits = np.array([low + (high - low) * i // SLICES for i in range(1, SLICES)], np.uint64)
+    at = [np.r_[0, np.searchsorted(k, limits), len(k)].tolist() for k in keys]
+    for i in range(SLICES):
+        yield [(x[i], x[i + 1]) for x in at]
+
+
+def _sums_of_equal(every: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts hashes, and, in that order, the sum of the counts of each one's equals."""
     order = np.argsort(every, kind="stable")
+    if not len(order):
+        return order, np.empty(0, np.int64)
     every = every[order]
     new = np.r_[True, every[1:] != every[:-1]]
-    del every
-    counts = np.concatenate([unplanes(x.as_py(), np.uint32) for x in table.column("counts")])[order]
-    sums = np.add.reduceat(counts, np.flatnonzero(new), dtype=np.int64)
-    totals = np.empty(len(order), np.int64)
-    totals[order] = sums[np.cumsum(new, dtype=np.int32) - 1]
-    return pa.table(
-        [table.column("_chunk"), table.column("_range"), pa.array([planes(totals[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.binary()), table.column("words")],
-        ["_chunk", "_range", "totals", "words"],
-    )
+    sums = np.add.reduceat(counts[order], np.flatnonzero(new), dtype=np.int64)
+    return order, sums[np.cumsum(new, dtype=np.int32) - 1]
 
 
 def _totals(told: pa.Table) -> np.ndarray:
@@ -94,7 +129,7 @@ def _totals(told: pa.Table) -> np.ndarray:
 
 
 def _grams(table: pa.Table, text_col: str, most: int = 3) -> list[_Ngrams]:
-    return [_Ngrams(block, most) for block in blocks(table.column(text_col))]
+    return [_Ngrams(block, most) for block in blocks(table.column(text_col), BLOCK_BYTES)]
 
 
 class _Elsewhere:
@@ -199,7 +234,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     dealt = chunked(base, id_col, CHUNKS_PER_PARTITION)
     slim = dealt.select(text_col, "_chunk", id_col)
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 // 3)
-    with short_lived_shuffles(spark):
+    with short_lived_shuffles(spark), small_batches(spark, BATCH_ROWS):
         said = slim.groupBy("_chunk").applyInArrow(_say_short(ranges, text_col), SAID)
         said.groupBy("_range").applyInArrow(_sum, TOLD).write.parquet(f"{path}/short")
         short = spark.read.parquet(f"{path}/short")
