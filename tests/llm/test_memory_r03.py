@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from tradeloom.llm import jaccard, lm_scores, pii, textcols, toxicity
@@ -88,3 +89,18 @@ def test_toxicity_takes_few_texts_apart_at_a_time():
     assert [i for own, _ in parts for i in own.column("doc_id").to_pylist()] == list(range(len(texts)))
     assert max(own.num_rows for own, _ in parts) <= toxicity.ROWS
     assert [block.data[a:b].tobytes().decode() for _, block in parts for a, b in zip(block.bounds[:-1], block.bounds[1:], strict=True)] == [(t or "").lower() for t in texts]
+
+
+def test_packed_numbers_take_the_bytes_they_need():
+    assert len(planes(np.ones(1000, np.int64))) <= 1001
+    for kind in (np.uint16, np.uint32, np.uint64, np.int64):
+        for values in ([], [0], [255, 1], [256, 0, 3], [np.iinfo(kind).max, 0], [np.iinfo(kind).min, 1]):
+            assert unplanes(planes(np.array(values, kind)), kind).tolist() == values
+
+
+def test_each_task_scores_as_many_chunks(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = spark.createDataFrame([(i, f"word{i % 9} and word{i}") for i in range(600)], "doc_id long, text string")
+    dealt = lm_scores.chunked(lm_scores.score(docs), "doc_id", lm_scores.CHUNKS_PER_PARTITION)
+    found = dealt.select(F.spark_partition_id().alias("task"), "_chunk").distinct().groupBy("task").count().collect()
+    assert [r["count"] for r in found] == [lm_scores.CHUNKS_PER_PARTITION] * parts

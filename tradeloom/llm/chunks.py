@@ -12,7 +12,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 CHUNKS_PER_PARTITION = 4
@@ -26,6 +26,14 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", per_partition: int = CHUNKS
     return docs.withColumn("_chunk", F.pmod(F.xxhash64(id_col), F.lit(chunks)).cast("int"))
 
 
+def grouped(rows: DataFrame, number_col: str, partitions: int) -> GroupedData:
+    """Grouped by chunk, or range of hashes, with the same count of these numbers in each partition.
+
+    Dealt by a hash of the few numbers, some tasks would get several times the others' share to sort and hold.
+    """
+    return rows.repartitionById(partitions, number_col).groupBy(number_col)
+
+
 @contextmanager
 def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
     """Jobs inside drop their shuffle files when they end: each writes a table that the next one reads."""

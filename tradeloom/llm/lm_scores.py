@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tradeloom.session import work_dir
 
-from .chunks import chunked, short_lived_shuffles, small_batches
+from .chunks import chunked, grouped, short_lived_shuffles, small_batches
 from .packing import edges, planes, unplanes
 from .textcols import NOT_SPACE, Block, Hasher, blocks
 
@@ -233,15 +233,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     base = docs.drop("n_words", "log_score", "mean_log_score")
     dealt = chunked(base, id_col, CHUNKS_PER_PARTITION)
     slim = dealt.select(text_col, "_chunk", id_col)
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 // 3)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, parts * 2 // 3)
     with short_lived_shuffles(spark), small_batches(spark, BATCH_ROWS):
-        said = slim.groupBy("_chunk").applyInArrow(_say_short(ranges, text_col), SAID)
-        said.groupBy("_range").applyInArrow(_sum, TOLD).write.parquet(f"{path}/short")
+        said = grouped(slim, "_chunk", parts).applyInArrow(_say_short(ranges, text_col), SAID)
+        grouped(said, "_range", ranges).applyInArrow(_sum, TOLD).write.parquet(f"{path}/short")
         short = spark.read.parquet(f"{path}/short")
-        said = slim.groupBy("_chunk").cogroup(short.groupBy("_chunk")).applyInArrow(_say_triples(ranges, text_col), SAID)
-        said.groupBy("_range").applyInArrow(_sum, TOLD).write.parquet(f"{path}/triples")
+        said = grouped(slim, "_chunk", parts).cogroup(grouped(short, "_chunk", parts)).applyInArrow(_say_triples(ranges, text_col), SAID)
+        grouped(said, "_range", ranges).applyInArrow(_sum, TOLD).write.parquet(f"{path}/triples")
     triples = spark.read.parquet(f"{path}/triples")
     words = short.agg(F.sum("words").alias("n")).first()["n"] or 0
     told = short.withColumn("triples", F.lit(False)).unionByName(triples.withColumn("triples", F.lit(True)))
     schema = T.StructType([*base.schema.fields, *T.StructType.fromDDL("n_words long, log_score double, mean_log_score double").fields])
-    return dealt.groupBy("_chunk").cogroup(told.groupBy("_chunk")).applyInArrow(_score(words, text_col, base.columns), schema)
+    return grouped(dealt, "_chunk", parts).cogroup(grouped(told, "_chunk", parts)).applyInArrow(_score(words, text_col, base.columns), schema)

@@ -6,13 +6,22 @@ import numpy as np
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte, the low bytes of all first: what is zero throughout lies together and packs well."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    """How many bytes of each number follow, then these byte by byte, the low bytes of all first.
+
+    High bytes that are zero in all numbers are left out: rows are held unpacked wherever they are sorted or passed on.
+    """
+    table = values.view(np.uint8).reshape(len(values), values.itemsize)
+    width = values.itemsize
+    while width > 1 and not table[:, width - 1].any():
+        width -= 1
+    return b"".join((bytes([width]), np.ascontiguousarray(table[:, :width].T)))
 
 
 def unplanes(data: bytes, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
+    low = np.frombuffer(data, np.uint8)[1:].reshape(data[0], -1).T
+    table = np.zeros((len(low), np.dtype(kind).itemsize), np.uint8)
+    table[:, : data[0]] = low
+    return table.view(kind).ravel()
 
 
 def edges(found: np.ndarray, ranges: int) -> np.ndarray:
