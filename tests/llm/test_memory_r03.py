@@ -91,6 +91,22 @@ def test_toxicity_takes_few_texts_apart_at_a_time():
     assert [block.data[a:b].tobytes().decode() for _, block in parts for a, b in zip(block.bounds[:-1], block.bounds[1:], strict=True)] == [(t or "").lower() for t in texts]
 
 
+def test_the_driver_gets_the_model_and_no_training_documents(spark, monkeypatch):
+    texts = [f"{'vile' if i % 3 == 0 else 'kind'} words of text {i} {'and more ' * (i % 5)}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7, "doc_id").sortWithinPartitions("doc_id")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    seen, to_arrow = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: seen.append(to_arrow(self)) or seen[-1])
+    model = toxicity.train(docs, labels)
+    assert sum(len(x) for x in seen) == 1
+    # It is the model of the documents in their order.
+    order = [(r["doc_id"], r["text"]) for r in docs.where(~toxicity.held_out(docs.doc_id)).collect()]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in order]), pa.array([int(i % 3 == 0) for i, _ in order], pa.int32())], ["text", "toxic"])
+    plain = toxicity.fit(toxicity._local(pa.Table.from_batches(list(toxicity._counts(iter([batch]))))))
+    assert np.array_equal(model.weight, plain.weight)
+    assert np.allclose(model.projected, plain.projected, atol=1e-4) and model.bias == pytest.approx(plain.bias, abs=1e-4)
+
+
 def test_packed_numbers_take_the_bytes_they_need():
     assert len(planes(np.ones(1000, np.int64))) <= 1001
     for kind in (np.uint16, np.uint32, np.uint64, np.int64):

@@ -4,7 +4,8 @@ Each word stands for the hash buckets of itself and of its character n-grams (wi
 and end), so a misspelling that was never seen shares most of its vectors with the word it bends. The
 embeddings and the softmax are trained together, in numpy, on at most ``LABELLED_ROWS`` labelled
 documents, picked by a hash of their id: the only part that does not grow with the data. A training
-document comes to the driver as at most ``BUCKETS`` counts. Only the text is an input of the score.
+document comes to the one task that trains as at most ``BUCKETS`` counts, and the driver gets the model
+alone, two numbers a bucket. Only the text is an input of the score.
 
 All texts are then scored in the tasks, against two numbers for each bucket, its weight and its vector's
 projection: the projection of a mean of vectors is the mean of their projections.
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .chunks import small_batches
 from .textcols import ALNUM, Block, Hasher, blocks, mix
 
 BUCKETS = 1 << 17
@@ -136,14 +138,9 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 6) -> Model:
         odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model(weight, np.zeros(BUCKETS), float(odds))
     used = texts >= MIN_TEXTS
-    # Two large arrays for all rows: their memory goes back when they go, unlike that of thousands of small ones.
-    ends = np.cumsum([0, *(np.count_nonzero(used[buckets]) for _, buckets, _ in rows)]).tolist()
-    every, values = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
-    for (_, buckets, counts), low, high in zip(rows, ends[:-1], ends[1:], strict=True):
-        value = counts * weight[buckets]
-        value = value / max(value.sum(), 1e-9)
-        every[low:high], values[low:high] = buckets[used[buckets]], value[used[buckets]]
-    inputs = [(every[low:high], values[low:high]) for low, high in zip(ends[:-1], ends[1:], strict=True)]
+    # What goes into a mean is worked out batch by batch: the rows are the only thing as large as the training set.
+    lengths = np.array([len(r[1]) for r in rows])
+    sums = np.array([max((counts * weight[buckets]).sum(), 1e-9) for _, buckets, counts in rows])
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-0.01, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
     vectors[~used] = 0
@@ -154,11 +151,13 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 6) -> Model:
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)):
-            buckets = np.concatenate([inputs[i][0] for i in part])
-            owner = np.repeat(np.arange(len(part)), [len(inputs[i][0]) for i in part])
+            buckets = np.concatenate([rows[i][1] for i in part])
+            keep = used[buckets]
+            owner = np.repeat(np.arange(len(part)), lengths[part])[keep]
+            buckets, counts = buckets[keep], np.concatenate([rows[i][2] for i in part])[keep]
             known, at = np.unique(buckets, return_inverse=True)
             table = np.zeros((len(part), len(known)), np.float32)
-            table[owner, at] = np.concatenate([inputs[i][1] for i in part])
+            table[owner, at] = counts * weight[buckets] / sums[part][owner]
             means = table @ vectors[known]
             logits = means @ softmax + bias
             odds = np.exp(logits - logits.max(1, keepdims=True))
@@ -178,10 +177,29 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
     # At most labelled_rows ids and labels: a bounded broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
-    # The Arrow table goes before the fit begins, and what it took is given back: this is the driver's memory.
-    rows = _local(texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>").toArrow())
+    counted = texts.mapInArrow(_counts, "toxic int, buckets array<int>, counts array<float>")
+    # In the order of the documents, whatever the order in which they arrive: the model depends on it.
+    dealt = counted.withColumn("at", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("at")
+    with small_batches(docs.sparkSession, ROWS):
+        found = dealt.mapInArrow(_fitted, "weight array<double>, projected array<double>, bias double").toArrow()
+    if not len(found):
+        return fit([])
+    weight, projected = (found.column(name)[0].values.to_numpy() for name in ("weight", "projected"))
+    return Model(weight, projected, found.column("bias")[0].as_py())
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows, in one row."""
+    every = list(batches)
+    if not every:
+        return
+    rows = _local(pa.Table.from_batches(every))
+    # The Arrow batches go before the fit begins, and what they took is given back.
+    every.clear()
     pa.default_memory_pool().release_unused()
-    return fit(rows)
+    model = fit(rows)
+    numbers = [pa.array([x], pa.list_(pa.float64())) for x in (model.weight, model.projected)]
+    yield pa.RecordBatch.from_arrays([*numbers, pa.array([model.bias])], ["weight", "projected", "bias"])
 
 
 def _local(table: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
