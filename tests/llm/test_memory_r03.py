@@ -4,12 +4,13 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from tradeloom.llm import jaccard, lm_scores, pii, textcols, toxicity
+from tradeloom.llm import bpe, decontamination, jaccard, lm_scores, pii, textcols, toxicity
 from tradeloom.llm.chunks import BATCH
 from tradeloom.llm.packing import planes, unplanes
 
@@ -120,3 +121,21 @@ def test_each_task_scores_as_many_chunks(spark):
     dealt = lm_scores.chunked(lm_scores.score(docs), "doc_id", lm_scores.CHUNKS_PER_PARTITION)
     found = dealt.select(F.spark_partition_id().alias("task"), "_chunk").distinct().groupBy("task").count().collect()
     assert [r["count"] for r in found] == [lm_scores.CHUNKS_PER_PARTITION] * parts
+
+
+def test_tokens_are_decoded_in_parts(spark):
+    lists = pa.array([[1] * 3, None, [], [2] * 500, [3]], pa.list_(pa.int32()))
+    assert [x.to_pylist() for x in bpe._slices(lists, 4)] == [[[1] * 3, None, []], [[2] * 500], [[3]]]
+    texts = [None, "", *(f"Some text {i}, ünï " * (1 + i % 4) for i in range(300)), "long " * 300_000, "end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = bpe.decode(bpe.encode(docs, path), path).collect()
+    assert {r["doc_id"]: r["decoded"] for r in found} == {i: t or "" for i, t in enumerate(texts)}
+
+
+def test_decontamination_takes_small_blocks(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(decontamination, "blocks", lambda column, limit=textcols.BLOCK_BYTES: taken.append(limit) or textcols.blocks(column, limit))
+    batch = pa.RecordBatch.from_arrays([pa.array(["b"]), pa.array(["some words " * 20])], ["item", "text"])
+    assert sum(x.num_rows for x in decontamination._windows_of_items(13)(iter([batch]))) > 0
+    assert taken and max(taken) <= 1 << 19

@@ -29,8 +29,10 @@ from pyspark.sql import types as T
 #: Fixed value: how byte-level BPE cuts texts into pieces.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-BLOCK_BYTES = 3_000_000
-KNOWN_PIECES = 300_000
+#: Bytes that are encoded and ids that are decoded at a time; workers keep for later tasks what they once took.
+BLOCK_BYTES = 1_000_000
+BLOCK_IDS = 250_000
+KNOWN_PIECES = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -180,8 +182,9 @@ def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def _slices(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
-    """Parts of a text column of at most ``limit`` bytes, or one text."""
-    ends = np.cumsum(pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
+    """Parts of a text column of at most ``limit`` bytes, or one text; of a column of lists, so many elements or one list."""
+    lengths = pc.list_value_length(texts) if pa.types.is_list(texts.type) else pc.binary_length(texts)
+    ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     low = 0
     while low < len(texts):
         before = ends[low - 1] if low else 0
@@ -219,14 +222,17 @@ def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
         for batch in batches:
-            lists = batch.column(ids_col)
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            counts = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
-            ends = np.r_[0, np.cumsum(counts)]
-            texts = []
-            for low, high in zip(ends[:-1], ends[1:], strict=True):
-                ids = values[low:high]
-                texts.append(gather(vocab.bytes, vocab.offsets[ids], vocab.lengths[ids]).tobytes().decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
+            start = 0
+            for lists in _slices(batch.column(ids_col), BLOCK_IDS):
+                values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                ends = np.r_[0, np.cumsum(counts)]
+                texts = []
+                for low, high in zip(ends[:-1], ends[1:], strict=True):
+                    ids = values[low:high]
+                    texts.append(gather(vocab.bytes, vocab.offsets[ids], vocab.lengths[ids]).tobytes().decode("utf-8", "replace"))
+                own = batch.slice(start, len(lists))
+                start += len(lists)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(texts, pa.string())], [*own.schema.names, text_col])
 
     return base.mapInArrow(run, schema)

@@ -29,6 +29,8 @@ N = 13
 WINDOWS_PER_PASS = 2_000_000
 
 ADDED = "n_words long, n_hit long, items array<string>, hits array<struct<start:long,end:long>>"
+#: Bytes of texts whose windows a task takes at a time.
+BLOCK_BYTES = 1 << 19
 HASHER = Hasher(10)
 
 
@@ -38,7 +40,7 @@ def _windows_of_items(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("item").to_pylist()
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), BLOCK_BYTES):
                 words = block.words(ALNUM, lower=True)
                 hashes = words.hashes(HASHER)
                 out = {"hash": [], "size": [], "words": [], "item": []}
@@ -130,7 +132,7 @@ def _scanner(shared, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Lookup(shared.value)
         for batch in batches:
-            for block in blocks(batch.column(text_col)):
+            for block in blocks(batch.column(text_col), BLOCK_BYTES):
                 words, hit, items = _scan(block, lookup)
                 sums = np.r_[0, np.cumsum(hit)]
                 n_hit = sums[words.first[1:]] - sums[words.first[:-1]]
@@ -156,7 +158,7 @@ def _recount(merged: DataFrame, columns: list[str], text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column("hits").to_pylist()
-            for block in blocks(batch.column(text_col)):
+            for block in blocks(batch.column(text_col), BLOCK_BYTES):
                 words = block.words(ALNUM, lower=True)
                 ranges = [(block.bounds[r] + x["start"], block.bounds[r] + x["end"]) for r in range(len(block)) for x in found[block.first + r]]
                 low, high = (np.searchsorted(words.starts, np.array([x[k] for x in ranges], np.int64)) for k in (0, 1))
