@@ -12,8 +12,11 @@ signature, as equal sets are one node.) No link is lost.
 Sets that share a signature are compared, but not all with all: first with one leader of each
 signature, the set with the most company, beginning with the leader of most signatures of a set. What is
 then in one component needs no further comparison. Of signatures that still span several, all pairs across components follow: as rows where a signature has up
-to ``MANY`` members, and else in blocks, where a task compares two blocks of members and returns no more
-links than members.
+to ``MANY`` members. More members have mostly no more in common than a feature or two that many sets have. They are
+told apart by prefixes: features are ordered by the number of sets that have them, rarest first, and linked sets share one
+of the features by which a set may differ from a linked one, and one more. So two members are compared
+if the first features of their sets meet. Only where more than ``MANY`` sets meet in so rare a feature all are compared, in
+blocks, where a task compares two blocks of members and returns no more links than members.
 
 A comparison begins with parity sketches: a set flips one of at least twice as many bits for each feature, so
 sketches differ in no more bits than sets do in features. Only sets whose sketches are near enough are read in
@@ -43,6 +46,9 @@ SHINGLE = 3
 PERCENT = 90
 SPARE = 1
 MANY = 32
+#: Sets in which a feature is common, and the most common features that are told apart; all others come first in prefixes.
+COMMON = 16
+MOST_COMMON = 1 << 19
 PASSES = 4
 PASS_BYTES = 64 << 20
 BLOCK = 256
@@ -337,12 +343,84 @@ def _components_of_sets(spark: SparkSession, docs: DataFrame, path: str, size: i
     across = few.join(others, "sign").where("rank > b_rank AND b_rank > 1 AND component <> b_component")
     across = stored(_pairs(across, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     found = _linked(spark, across, features, percent, f"{path}/links")
-    many = left.where(F.col("last") > MANY)
-    if not many.isEmpty():
-        found = found.unionByName(stored(_block_links(spark, many, features, f"{path}/crowds", percent), "crowd-links"))
+    crowded = stored(left.where(F.col("last") > MANY).select("id", "size", "component").distinct(), "crowded")
+    if not crowded.isEmpty():
+        # What these may link with otherwise is known by now; among them, whose first features meet is compared.
+        meeting = stored(_meeting(crowded, _prefixes(features, _common(_counts(spark, features, f"{path}/common")), percent)), "meeting")
+        few = meeting.where(F.col("last") <= MANY)
+        others = few.select("sign", F.col("id").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_component"))
+        across = few.join(others, "sign").where("id > b AND component <> b_component")
+        across = stored(_pairs(across, percent).join(pairs, ["a", "b"], "left_anti"), "rare-pairs")
+        found = found.unionByName(_linked(spark, across, features, percent, f"{path}/rare-links"))
+        many = meeting.where(F.col("last") > MANY)
+        if not many.isEmpty():
+            found = found.unionByName(stored(_block_links(spark, many, features, f"{path}/crowds", percent), "crowd-links"))
     return parts if found.isEmpty() else components(spark, links.unionByName(found), f"{path}/components-2")
 
 
+def _counts(spark: SparkSession, features: DataFrame, path: str) -> DataFrame:
+    """(feature, sets): the features that more than ``COMMON`` sets have, and how many these are. As in ``_linked``, in passes."""
+    total = features.agg(F.sum("n")).first()[0] or 0
+    passes = min(PASSES, 1 + 8 * total // PASS_BYTES)
+
+    def part(k: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block in blocks(batch.column("features"), BLOCK_BYTES):
+                    feature = block.data.view(np.uint64)
+                    yield pa.RecordBatch.from_arrays([signed(feature[feature % U64(passes) == k])], ["feature"])
+
+        return run
+
+    for k in range(passes):
+        each = features.select("features").mapInArrow(part(k), "feature long")
+        counts = each.groupBy("feature").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > COMMON)
+        counts.write.mode("append").parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def _common(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ``MOST_COMMON`` features that most sets have, sorted, and the sets of each."""
+    most = counts.orderBy(F.desc("sets"), "feature").limit(MOST_COMMON).toArrow()
+    feature, sets = most.column("feature").to_numpy().view(np.uint64), most.column("sets").to_numpy()
+    order = np.argsort(feature)
+    return feature[order], sets[order]
+
+
+def _prefixes(features: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int) -> DataFrame:
+    """(sign, id): the first features of each set, one more than may be missing from a set that it links with.
+
+    Rare features come before common ones, and these by the number of their sets; hashes break ties. Any order
+    that is the same for all sets would do: two sets that link share one of their first features.
+    """
+    shared = features.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sets = shared.value
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            for block in blocks(batch.column("features"), BLOCK_BYTES):
+                feature, edge = block.data.view(np.uint64), block.bounds // 8
+                size = np.diff(edge)
+                row = np.repeat(np.arange(len(block)), size)
+                rank = np.zeros(len(feature), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, feature), len(known) - 1)
+                    rank = np.where(known[at] == feature, sets[at], 0)
+                order = np.lexsort((feature, rank, row))
+                first = order[np.arange(len(feature)) - edge[row] < (size - -(-percent * size // 100) + 1)[row]]
+                yield pa.RecordBatch.from_arrays([signed(feature[first]), pa.array(ids[block.first + row[first]], pa.int64())], ["sign", "id"])
+
+    return features.select("id", "features").mapInArrow(run, "sign long, id long")
+
+
+def _meeting(members: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """(sign, id, size, component, last): the members whose prefixes have a feature that spans several components; last: how many meet in it."""
+    shared = prefixes.withColumn("_sets", F.expr("count(1) OVER (PARTITION BY sign)")).where("_sets > 1").select("sign", "id")
+    spans = {"least": F.expr("min(component) OVER (PARTITION BY sign)"), "most": F.expr("max(component) OVER (PARTITION BY sign)"), "last": F.expr("count(1) OVER (PARTITION BY sign)")}
+    return shared.join(members, "id").withColumns(spans).where("least < most").select("sign", "id", "size", "component", "last")
+
+
 def _fitting(joined: DataFrame, percent: int) -> DataFrame:
     """The rows whose sizes allow a link."""
     return joined.where(100 * F.least("size", "b_size") >= percent * F.greatest("size", "b_size"))
@@ -366,9 +444,9 @@ def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _block_links(spark: SparkSession, many: DataFrame, features: DataFrame, path: str, percent: int) -> DataFrame:
-    """Links among the members of crowded signatures, compared block by block.
+    """Links among the members of crowded prefix features, compared block by block.
 
-    Signatures of one level (the greatest band of their members) with members in common are one crowd, so
+    Features of one level (the greatest band of their members) with members in common are one crowd, so
     that its sizes lie in two bands. Its members are dealt to blocks of about ``BLOCK``,
     and a task compares two blocks; it returns links that connect what is connected, not all of them.
     """
